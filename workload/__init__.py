@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("gaps",)
+MODULES = ("gaps", "telemetry", "health")
 
 
 def load(attribute: str) -> dict:
