@@ -1 +1,9 @@
 """Transit and weather telemetry processing on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel with the task, so executors need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

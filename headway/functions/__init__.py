@@ -11,13 +11,14 @@ from headway.functions.numeric import (
 from headway.functions.status import (
     duration_text, error_category, is_error_event, is_widening, staleness,
 )
-from headway.functions.text import flag, leading_number, text_or_empty, text_or_null
+from headway.functions.text import flag, leading_number, strip, text_or_empty, text_or_null
 
 __all__ = [
     "c_to_f", "duration_text", "epoch_seconds", "error_category", "feet_to_miles",
     "flag", "float_text", "fraction_to_pct", "from_epoch", "grid_coordinates",
     "is_error_event", "is_widening", "iso_date", "iso_timestamp", "leading_number",
     "meters_to_miles", "next_local_midnight", "nws_grid_id", "py_round",
-    "service_date", "staleness", "text_or_empty", "text_or_null", "to_instant",
+    "service_date", "staleness", "strip",
+    "text_or_empty", "text_or_null", "to_instant",
     "valid_lat_lon",
 ]

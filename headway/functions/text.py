@@ -21,3 +21,8 @@ def text_or_empty(text: Column) -> Column:
 
 def text_or_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
+
+
+def strip(text: Column) -> Column:
+    """Without white space at both ends (``trim`` only knows blanks)."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")

@@ -11,7 +11,8 @@ of ``block_cooldowns`` cooldowns, and the walk is split in three:
    that, so a key contributes one cooldown's worth of candidates per block;
 3. per (key, block): replay from the known last send and mark the sends.
 
-Blocks are bounded in time, so a busy key spreads over its blocks.
+Blocks are bounded in time, so a busy key spreads over its blocks.  The walks
+take a whole Arrow batch of blocks per call; Spark groups, sorts and joins.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 _NEVER = -(2 ** 62)
 
@@ -50,6 +50,18 @@ def _walk(times: np.ndarray, last: int, pause: int) -> np.ndarray:
     return sent
 
 
+def _chain(enter: np.ndarray, leave: np.ndarray, pause: int) -> np.ndarray:
+    """Last send before each block of a key, stepping through the blocks' entries."""
+    known = np.empty(len(enter), dtype="int64")
+    last = _NEVER
+    for block, (starts, ends) in enumerate(zip(enter, leave)):
+        known[block] = last
+        at = int(np.searchsorted(starts, last + pause, side="right"))
+        if at < len(starts):
+            last = int(ends[at])
+    return known
+
+
 def alerts_to_send(candidates: DataFrame, keys: Sequence[str], ts: str, cooldown_s: float,
                    block_cooldowns: int = 64) -> DataFrame:
     """``keys, ts, send`` for every distinct candidate instant.
@@ -69,52 +81,42 @@ def alerts_to_send(candidates: DataFrame, keys: Sequence[str], ts: str, cooldown
         .withColumn("__block", (F.col("__us") - F.pmod("__us", F.lit(width))) / F.lit(width))
         .withColumn("__block", F.col("__block").cast("long"))
     )
-    key_fields = [asked.schema[k] for k in keys]
-    nodes = asked.filter("__ask").select(*keys, "__block", "__us")
-
-    def long_columns(*names: str) -> list[StructField]:
-        return [StructField(n, LongType()) for n in names]
-
-    def with_keys(pdf: pd.DataFrame, columns: dict) -> pd.DataFrame:
-        size = len(next(iter(columns.values())))
-        named = {k: pdf[k].iloc[:1].repeat(size).array for k in keys}
-        return pd.DataFrame({**named, **columns})
-
-    def block_entries(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["__us"].to_numpy())
-        block = int(pdf["__block"].iloc[0])
-        enter, leave = _entries(times, block * width, pause)
-        return with_keys(pdf, {"__block": np.full(len(enter), block), "__in": enter, "__out": leave})
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__in")
-        blocks, enter, leave = (pdf[c].to_numpy() for c in ("__block", "__in", "__out"))
-        starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
-        ends = np.r_[starts[1:], len(blocks)]
-        last, known = _NEVER, []
-        for lo, hi in zip(starts, ends):
-            known.append(last)
-            at = lo + int(np.searchsorted(enter[lo:hi], last + pause, side="right"))
-            if at < hi:
-                last = int(leave[at])
-        return with_keys(pdf, {"__block": blocks[starts], "__last": np.array(known, dtype="int64")})
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry = pdf["__last"].notna()
-        times = np.sort(pdf.loc[~entry, "__us"].to_numpy().astype("int64"))
-        last = int(pdf.loc[entry, "__last"].iloc[0])
-        return with_keys(pdf, {"__us": times, "send": _walk(times, last, pause)})
-
-    entries = nodes.groupBy(*keys, "__block").applyInPandas(
-        block_entries, StructType([*key_fields, *long_columns("__block", "__in", "__out")]))
-    lasts = entries.groupBy(*keys).applyInPandas(
-        chain, StructType([*key_fields, *long_columns("__block", "__last")]))
-    marked = (
-        nodes.unionByName(lasts, allowMissingColumns=True)
-        .groupBy(*keys, "__block").applyInPandas(
-            mark, StructType([*key_fields, *long_columns("__us"),
-                              StructField("send", BooleanType())]))
+    blocks = asked.filter("__ask").groupBy(*keys, "__block").agg(
+        F.sort_array(F.collect_list("__us")).alias("__times"))
+
+    @F.pandas_udf("in array<bigint>, out array<bigint>")
+    def entries(times: pd.Series, block: pd.Series) -> pd.DataFrame:
+        pairs = [_entries(t, int(b) * width, pause) for t, b in zip(times, block)]
+        return pd.DataFrame({"in": [p[0] for p in pairs], "out": [p[1] for p in pairs]})
+
+    @F.pandas_udf("array<bigint>")
+    def chain(enter: pd.Series, leave: pd.Series) -> pd.Series:
+        return pd.Series([_chain(i, o, pause) for i, o in zip(enter, leave)])
+
+    @F.pandas_udf("array<boolean>")
+    def mark(times: pd.Series, last: pd.Series) -> pd.Series:
+        return pd.Series([_walk(t, int(s), pause) for t, s in zip(times, last)])
+
+    lasts = (
+        blocks.withColumn("__e", entries("__times", "__block"))
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(
+            F.struct("__block", F.col("__e.in").alias("i"), F.col("__e.out").alias("o"))))
+            .alias("__path"))
+        .withColumn("__known", chain(F.col("__path.i"), F.col("__path.o")))
+        .select(*[F.col(k).alias(f"__l_{k}") for k in keys],
+                F.explode(F.arrays_zip(F.col("__path.__block").alias("b"), "__known")).alias("__z"))
+        .select(*[f"__l_{k}" for k in keys], F.col("__z.b").alias("__lb"),
+                F.col("__z.__known").alias("__last"))
+    )
+    same = F.col("__block") == F.col("__lb")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__l_{k}"))
+    asking = (
+        blocks.join(lasts, same)
+        .select(*keys, F.explode(F.arrays_zip("__times", mark("__times", "__last").alias("s")))
+                .alias("__m"))
+        .select(*keys, F.timestamp_micros("__m.__times").alias(ts), F.col("__m.s").alias("send"))
     )
-    asking = marked.select(*keys, F.timestamp_micros("__us").alias(ts), "send")
     silent = asked.filter(~F.col("__ask")).select(*keys, ts, F.lit(False).alias("send"))
     return asking.unionByName(silent)

@@ -41,6 +41,8 @@ def exact_percentiles(hist: DataFrame, keys: Sequence[str], value: str,
         hist.select(*keys, F.col(value).cast("double").alias("__v"), "n")
         .filter(F.col("__v").isNotNull())
         .withColumn("__b", value_bucket(F.col("__v")))
+        # Never NULL; stated so that both uses below share one scan and shuffle.
+        .filter(F.col("__b").isNotNull())
     )
     by_key = Window.partitionBy(*keys)
     up_to_bucket = by_key.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,16 +53,19 @@ def exact_percentiles(hist: DataFrame, keys: Sequence[str], value: str,
             "__total": F.sum("__bn").over(by_key),
         })
     )
+    # Entry 2i is the rank below percents[i]'s position, entry 2i + 1 the one above.
     wanted = F.array(*[
-        _rank_struct(F.col("__total"), pct, upper) for pct in percents for upper in (False, True)
+        F.struct(F.lit(2 * i + up).alias("slot"),
+                 _rank(F.col("__total"), pct, bool(up)).alias("rank"))
+        for i, pct in enumerate(percents) for up in (0, 1)
     ])
-    inside = lambda r: (
-        (r.rank >= F.col("__before")) & (r.rank < F.col("__before") + F.col("__bn")))
     targets = (
-        buckets.withColumn("__want", F.filter(wanted, inside))
+        buckets.withColumn("__want", wanted)
+        .withColumn("__want", F.filter("__want", lambda r: (
+            r.rank >= F.col("__before")) & (r.rank < F.col("__before") + F.col("__bn"))))
         .filter(F.size("__want") > 0)
         .select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col("__b").alias("__tb"),
-                "__before", "__want")
+                "__before", "__total", "__want")
     )
     same = F.col("__b") == F.col("__tb")
     for k in keys:
@@ -73,39 +78,34 @@ def exact_percentiles(hist: DataFrame, keys: Sequence[str], value: str,
         hist.join(targets, same)
         .withColumn("__low", F.col("__before")
                     + F.coalesce(F.sum("n").over(up_to_value), F.lit(0)))
-        .withColumn("__hit", F.explode(F.filter(
-            "__want", lambda r: (r.rank >= F.col("__low")) & (r.rank < F.col("__low") + F.col("n")))))
-        .select(*keys, "__v", "__hit.*")
+        .select(*keys, "__v", "__low", "n", "__total", F.explode("__want").alias("__w"))
+        .filter((F.col("__w.rank") >= F.col("__low"))
+                & (F.col("__w.rank") < F.col("__low") + F.col("n")))
     )
-    columns = []
-    for pct in percents:
-        at = lambda upper: F.max(F.when(
-            (F.col("pct") == pct) & (F.col("upper") == upper), F.col("__v")))
-        weight = F.max(F.when(F.col("pct") == pct, F.col("weight")))
-        columns += [at(False).alias(f"__lo{pct}"), at(True).alias(f"__hi{pct}"),
-                    weight.alias(f"__w{pct}"),
-                    F.max(F.when(F.col("pct") == pct, F.col("anti"))).alias(f"__a{pct}")]
-    ends = hits.groupBy(*keys).agg(*columns)
-    return ends.select(*keys, *[
-        py_round(
-            F.when(F.col(f"__lo{p}") == F.col(f"__hi{p}"), F.col(f"__lo{p}"))
-            .otherwise(F.col(f"__lo{p}") * F.col(f"__a{p}") + F.col(f"__hi{p}") * F.col(f"__w{p}")),
-            2).alias(f"p{p}")
-        for p in percents])
+    ends = hits.groupBy(*keys).agg(F.max("__total").alias("__total"), *[
+        F.max(F.when(F.col("__w.slot") == slot, F.col("__v"))).alias(f"__s{slot}")
+        for slot in range(2 * len(percents))])
+    mixed = ends.select(*keys, *[
+        _interpolate(F.col(f"__s{2 * i}"), F.col(f"__s{2 * i + 1}"), F.col("__total"), pct)
+        .alias(f"p{pct}") for i, pct in enumerate(percents)])
+    return mixed.select(*keys, *[py_round(F.col(f"p{p}"), 2).alias(f"p{p}") for p in percents])
 
 
-def _rank_struct(total: Column, pct: int, upper: bool) -> Column:
-    """Zero-based rank below or above the position, with both weights."""
-    last = (total - 1).cast("double")
+def _position(total: Column, pct: int) -> Column:
     share = min(max(pct, 0), 100) / 100.0
-    position = last * F.lit(share)
-    low = F.floor(position)
-    high = F.least(low + 1, total - 1)
-    return F.struct(
-        F.lit(pct).alias("pct"), F.lit(upper).alias("upper"),
-        (high if upper else low).alias("rank"),
-        (position - low).alias("weight"), (high - position).alias("anti"),
-    )
+    return (total - 1).cast("double") * F.lit(share)
+
+
+def _rank(total: Column, pct: int, upper: bool) -> Column:
+    """Zero-based rank just below or just above the position."""
+    low = F.floor(_position(total, pct))
+    return F.least(low + 1, total - 1) if upper else low
+
+
+def _interpolate(low: Column, high: Column, total: Column, pct: int) -> Column:
+    at = _position(total, pct)
+    below, above = _rank(total, pct, False), _rank(total, pct, True)
+    return F.when(below == above, low).otherwise(low * (above - at) + high * (at - below))
 
 
 def approximate_percentiles(hist: DataFrame, keys: Sequence[str], value: str,
