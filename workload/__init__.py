@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("gaps", "telemetry", "health", "payloads", "weather")
+MODULES = ("gaps", "telemetry", "health", "payloads", "weather", "drift")
 
 
 def load(attribute: str) -> dict:
