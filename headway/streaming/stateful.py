@@ -23,12 +23,18 @@ _LAST = StructType([StructField("us", LongType())])
 class _LastInstant(StatefulProcessor):
     """Holds the last instant of a key, in microseconds."""
 
+    def __init__(self, keys: Sequence[str]):
+        self._keys = list(keys)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", _LAST)
 
     def _get(self) -> int | None:
         return self._last.get()[0] if self._last.exists() else None
 
+    def _row(self, key, **values) -> Row:
+        return Row(**dict(zip(self._keys, key)), **values)
+
     def close(self) -> None:
         pass
 
@@ -40,7 +46,7 @@ class PreviousPoll(_LastInstant):
         last = self._get()
         for us in sorted({r.us for r in rows}):
             if last is None or us > last:
-                yield Row(*key, last, us)
+                yield self._row(key, prev_us=last, us=us)
                 last = us
         if last is not None:
             self._last.update((last,))
@@ -49,7 +55,8 @@ class PreviousPoll(_LastInstant):
 class Cooldown(_LastInstant):
     """Marks candidates as sent, strictly more than the pause after the last send."""
 
-    def __init__(self, pause_us: int):
+    def __init__(self, keys: Sequence[str], pause_us: int):
+        super().__init__(keys)
         self._pause_us = pause_us
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -61,7 +68,7 @@ class Cooldown(_LastInstant):
             send = asked[us] and (last is None or us - last > self._pause_us)
             if send:
                 last = us
-            yield Row(*key, us, send)
+            yield self._row(key, us=us, send=send)
         if last is not None:
             self._last.update((last,))
 
@@ -78,7 +85,7 @@ def detect_gaps_stream(polls: DataFrame, ts: str, keys: Sequence[str], poll_inte
     schema = _keyed(polls, keys, [StructField("prev_us", LongType()),
                                   StructField("us", LongType())])
     linked = polls.select(*keys, F.unix_micros(ts).alias("us")).groupBy(*keys).transformWithState(
-        PreviousPoll(), schema, outputMode="Append", timeMode="None")
+        PreviousPoll(keys), schema, outputMode="Append", timeMode="None")
     at = {"prev": F.timestamp_micros("prev_us"), "now": F.timestamp_micros("us")}
     fields = gap_fields(at["prev"], at["now"], poll_interval_s, threshold_multiplier, downtime_s)
     return linked.select(
@@ -97,5 +104,5 @@ def alerts_to_send_stream(candidates: DataFrame, keys: Sequence[str], ts: str,
         *keys, F.unix_micros(ts).alias("us"), F.coalesce("should_alert", F.lit(False))
         .alias("should_alert"),
     ).groupBy(*keys).transformWithState(
-        Cooldown(round(cooldown_s * 1e6)), schema, outputMode="Append", timeMode="None")
+        Cooldown(keys, round(cooldown_s * 1e6)), schema, outputMode="Append", timeMode="None")
     return marked.select(*keys, F.timestamp_micros("us").alias(ts), "send")

@@ -30,6 +30,10 @@ def arr(*fragments: Column) -> Column:
 
 
 def snapshots(spark, sf_dir):
+    return snapshots_of(table(spark, sf_dir, "lineitem"))
+
+
+def snapshots_of(lineitem):
     """One poll per line item: odd line numbers hold a single train as an object, even
     ones a list of two trains (the second with swapped flags and numbers unquoted)."""
     c = F.col
@@ -49,7 +53,7 @@ def snapshots(spark, sf_dir):
         F.lit('{"@name":'), txt(c("l_returnflag")), F.lit(',"train":'), found, F.lit("}"))))
     body = obj(tmst=txt(F.date_format("l_shipdate", "yyyy-MM-dd")), errCd=code,
                errNm=F.when(c("l_discount") == 0.1, txt("quota")), route=routes)
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem.select(
         obj(ctatt=body).alias("payload"), c("l_shipdate").cast("timestamp").alias("poll_timestamp"))
 
 
