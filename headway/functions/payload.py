@@ -16,14 +16,18 @@ def parse(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
-def extract(df: DataFrame, keep: list[str], **fields: Column) -> DataFrame:
-    """Compute ``fields`` once per row, next to the ``keep`` columns.
+def with_document(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a parsed value that is computed once per row.
 
-    A plain projection would be inlined into every later filter and column that
-    uses it, and each use would read the payload again; a generator is not.
+    A plain column would be copied into every later filter that is pushed below
+    it, and each copy would parse the text again; a generator is not copied.
     """
-    row = F.struct(*[c.alias(name) for name, c in fields.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def extract(df: DataFrame, keep: list[str], **fields: Column) -> DataFrame:
+    """The ``keep`` columns and the given fields."""
+    return df.select(*keep, *[c.alias(name) for name, c in fields.items()])
 
 
 def at(value: Column, path: str) -> Column:

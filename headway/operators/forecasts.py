@@ -21,10 +21,10 @@ _CELSIUS = "wmoUnit:degC"
 def _split(raw: DataFrame, problem: Column, fields: dict[str, Column],
            root: str | None = None) -> tuple[DataFrame, DataFrame]:
     keep = ["grid_id", "collected_at", "payload"]
-    parsed = p.extract(raw, keep, __v=p.parse(F.col("payload")))
+    parsed = p.with_document(raw.select(*keep), "__v", p.parse(F.col("payload")))
     if root is not None:
         first = F.get(p.elements(p.at(F.col("__v"), root)), F.lit(0))
-        parsed = p.extract(parsed, [*keep, "__v"], __p=first)
+        parsed = p.with_document(parsed, "__p", first)
     checked = p.extract(parsed, keep, reason=problem, **fields)
     good = checked.filter(F.col("reason").isNull()).select("grid_id", "collected_at", *fields)
     return good, checked.filter(F.col("reason").isNotNull()).select("grid_id", "payload", "reason")

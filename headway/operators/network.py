@@ -31,7 +31,7 @@ def stations(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     xy = p.elements(p.at(v, "the_geom.coordinates"))
     lon, lat = (p.number_or_text(F.get(xy, F.lit(i)), "") for i in (0, 1))
     checked = p.extract(
-        p.extract(raw, ["payload"], v=p.parse(F.col("payload"))), ["payload"],
+        p.with_document(raw.select("payload"), "v", p.parse(F.col("payload"))), ["payload"],
         reason=p.first_problem(
             (v.isNull(), "payload is not JSON"),
             (~p.is_object(p.at(v, "the_geom")), "no geometry"),
@@ -104,8 +104,8 @@ def description_ends(description: Column) -> Column:
 
 def line_names(text: Column) -> Column:
     """Comma-separated names, trimmed, blanks dropped."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), strip),
-                    lambda name: name != "")
+    tight = F.regexp_replace(strip(F.coalesce(text, F.lit(""))), r"\s*,\s*", ",")
+    return F.array_remove(F.split(tight, ","), "")
 
 
 def fingerprint(lines: Column, description: Column, track_type: Column, legend: Column,
@@ -145,20 +145,22 @@ def track_segments(raw: DataFrame, digest: str = "blake2s") -> tuple[DataFrame,
         return F.when(found != "", strip(found))
 
     shaped = p.extract(
-        p.extract(raw, ["payload"], v=p.parse(F.col("payload"))), ["payload"],
+        p.with_document(raw.select("payload"), "v", p.parse(F.col("payload"))), ["payload"],
         is_json=v.isNotNull(),
         lines=line_names(p.text(v, "lines")),
         description=trimmed("description"),
         track_type=trimmed("type"),
         legend=trimmed("legend"),
         shape_len=p.number_or_text(v, "shape_len"),
-        coords=multiline(p.at(v, "the_geom")))
+        geometry=p.at(v, "the_geom"))
+    # Lambdas run interpreted and take their whole operator along: keep them apart.
+    shaped = p.with_document(shaped, "coords", multiline(F.col("geometry")))
+    shaped = p.with_document(shaped, "bbox", bounding_box(F.col("coords")))
     coords, description = F.col("coords"), F.col("description")
     kept = ["payload", "is_json", "lines", "description", "track_type", "legend", "shape_len",
-            "coords"]
+            "coords", "bbox"]
     ends = segment_ends(coords)
-    fields = p.extract(shaped, kept, bbox=bounding_box(coords),
-                       both=description_ends(description), **ends)
+    fields = p.extract(shaped, kept, both=description_ends(description), **ends)
     text = fingerprint(F.col("lines"), description, F.col("track_type"), F.col("legend"),
                        F.col("shape_len"), {n: F.col(n) for n in ends})
     box = F.col("bbox")

@@ -20,7 +20,7 @@ def is_api_error(doc: Column) -> Column:
 
 
 def _documents(raw: DataFrame) -> DataFrame:
-    return p.extract(raw, ["payload", "poll_timestamp"], doc=p.parse(F.col("payload")))
+    return p.with_document(raw.select("payload", "poll_timestamp"), "doc", p.parse(F.col("payload")))
 
 
 def api_errors(raw: DataFrame) -> DataFrame:
@@ -69,14 +69,14 @@ def _train_problem(field) -> Column:
     )
 
 
-def _document_problem(payload: Column, doc: Column) -> Column:
+def _document_problem(payload: Column, doc: Column, routes: Column) -> Column:
     """Walks into the document only where it has no list of routes."""
-    body, routes = p.at(doc, "ctatt"), p.at(doc, "ctatt.route")
+    body, found = p.at(doc, "ctatt"), p.at(doc, "ctatt.route")
     return p.first_problem(
         (doc.isNull(), "payload is not JSON"),
         (~payload.rlike(r"^\s*\{"), "payload is not an object"),
         (is_api_error(doc), "API error"),
-        (routes.isNotNull() & ~p.is_array(routes), "route is not a list"),
+        (routes.isNull() & found.isNotNull(), "route is not a list"),
         (routes.isNull() & body.isNotNull() & ~p.is_object(body), "ctatt is not an object"),
     )
 
@@ -98,10 +98,11 @@ def train_positions(raw: DataFrame, strict_poll: bool = False) -> tuple[DataFram
     along.  Everything happens inside the payload's own row, without a shuffle.
     """
     doc, route, t = F.col("doc"), F.col("route"), F.col("t")
+    docs = p.with_document(_documents(raw), "routes", p.elements(p.at(doc, "ctatt.route")))
     docs = p.extract(
-        _documents(raw), ["payload", "poll_timestamp"],
-        reason=_document_problem(F.col("payload"), doc), api_timestamp=p.text(doc, "ctatt.tmst"),
-        routes=p.elements(p.at(doc, "ctatt.route")))
+        docs, ["payload", "poll_timestamp", "routes"],
+        reason=_document_problem(F.col("payload"), doc, F.col("routes")),
+        api_timestamp=p.text(doc, "ctatt.tmst"))
     bad_docs = docs.filter(F.col("reason").isNotNull()).select("payload", "reason")
     fails = F.lit(False)
     if strict_poll:
@@ -111,11 +112,13 @@ def train_positions(raw: DataFrame, strict_poll: bool = False) -> tuple[DataFram
 
         fails = F.exists("routes", lambda r: ~p.is_object(r) | F.exists(_trains_of(r), unusable))
     passed = ["payload", "poll_timestamp", "api_timestamp", "poll_fails"]
-    per_route = p.extract(
+    per_route = (
         docs.filter(F.col("reason").isNull()).withColumn("poll_fails", fails)
-        .select(*passed, F.explode("routes").alias("route")),
-        passed, is_route=p.is_object(route), route_name=p.text(route, "@name"),
-        trains=_trains_of(route))
+        .select(*passed, F.explode("routes").alias("route"))
+    )
+    per_route = p.with_document(p.extract(
+        p.with_document(per_route, "is_route", p.is_object(route)), [*passed, "route", "is_route"],
+        route_name=p.text(route, "@name")), "trains", _trains_of(route))
     bad_routes = per_route.filter(~F.col("is_route")).select(
         "payload", F.lit("route is not an object").alias("reason"))
     in_poll = F.when(F.col("poll_fails"), "another train of the poll is invalid")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from headway.functions import epoch_seconds, grid_coordinates, iso_date, iso_timestamp, nws_grid_id
 from headway.functions import payload as p
 from headway.operators import network, trains
-from workload.tables import events, table
+from workload.tables import events, spread, table
 
 
 def num(value: Column) -> Column:
@@ -30,7 +30,7 @@ def arr(*fragments: Column) -> Column:
 
 
 def snapshots(spark, sf_dir):
-    return snapshots_of(table(spark, sf_dir, "lineitem"))
+    return snapshots_of(spread(table(spark, sf_dir, "lineitem")))
 
 
 def snapshots_of(lineitem):
@@ -118,7 +118,7 @@ def track_payloads(spark, sf_dir):
             F.lit("  P"), c("l_partkey"), F.lit(" to S"), c("l_suppkey"), F.lit(" to end "))))
         .when(c("l_returnflag") == "N", txt("NoDelimiterHere"))
         .when(c("l_linestatus") == "O", txt(" to B")))
-    return table(spark, sf_dir, "lineitem").select(obj(
+    return spread(table(spark, sf_dir, "lineitem")).select(obj(
         lines=txt(F.concat(F.lit(" Red, ,"), c("l_linestatus"))), description=description,
         type=txt("Subway"), legend=F.when(c("l_tax") > 0.04, txt(" L1 ")).otherwise(txt("")),
         shape_len=F.when(c("l_returnflag") == "A", txt(c("l_extendedprice"))).when(
