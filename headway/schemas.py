@@ -49,6 +49,8 @@ FALLBACK_ONLY = table("""
 STATIONS = table(
     "id string, name string, address string, lines string, latitude double, longitude double")
 
+WEATHER_PAYLOAD = table("grid_id string, payload string, collected_at double, provider string")
+
 TELEMETRY_EVENT = table("""
     ts double, kind string, daemon_class string, diag_run_id string, name string,
     ok boolean, elapsed_ms double, error_type string, error_message string,

@@ -92,6 +92,12 @@ def raw_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> Da
         F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
+def weather_payloads(spark: SparkSession, path: str, provider: str) -> DataFrame:
+    """Landed responses below ``provider=``: JSON lines of grid, body text and time."""
+    return spark.read.schema(schemas.WEATHER_PAYLOAD).json(path).filter(
+        F.col("provider") == provider).drop("provider")
+
+
 def list_rows(raw: DataFrame) -> DataFrame:
     """Pages holding a JSON list each to one payload per element (all pages at once)."""
     return raw.select(F.explode(F.try_variant_get(
