@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from headway import schemas
+from headway.sources.journals import open_folder
 
 _CORRUPT = "_corrupt_record"
 
@@ -117,7 +118,6 @@ def parquet_footers(files: DataFrame) -> DataFrame:
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.parquet as pq
-        from pyarrow import fs
         from pyspark.sql.pandas.types import to_arrow_schema
         from pyspark.sql.types import (
             ArrayType, BooleanType, LongType, MapType, StringType, StructField, StructType)
@@ -133,8 +133,7 @@ def parquet_footers(files: DataFrame) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 row = {"path": path, "num_rows": None, "key_values": None, "fields": None}
                 try:
-                    filesystem, inner = fs.FileSystem.from_uri(
-                        path if ":/" in path else f"file://{path}")
+                    filesystem, inner = open_folder(path)
                     with filesystem.open_input_file(inner) as stream:
                         footer = pq.ParquetFile(stream)
                         meta = footer.metadata.metadata or {}

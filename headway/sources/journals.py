@@ -34,22 +34,30 @@ def day_folder(root: str, dataset: str, day: date) -> str:
     return f"{root.rstrip('/')}/{dataset}/year={day.year}/month={day.month:02d}/day={day.day:02d}"
 
 
+def open_folder(path: str) -> tuple:
+    """Arrow filesystem of a path or URI, and the path inside it."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
 def list_journals(root: str, dataset: str, day: date) -> list[JournalFile]:
     """``journal_*.ipc`` files of one day by name; empty files count, no folder is empty."""
     from pyarrow import fs
 
-    filesystem, folder = fs.FileSystem.from_uri(day_folder(_uri(root), dataset, day))
-    found = filesystem.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+    folder = day_folder(root, dataset, day)
+    filesystem, inner = open_folder(folder)
+    found = filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True))
     return sorted(
-        (JournalFile(f.path, f.size) for f in found
+        (JournalFile(f"{folder}/{f.base_name}", f.size) for f in found
          if f.is_file and f.base_name.startswith("journal_") and f.base_name.endswith(".ipc")),
         key=lambda f: f.path)
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
-
-
 def _batches(filesystem, path: str, outcome: dict) -> Iterator:
     """Whole batches of a file; ``outcome`` tells afterwards how reading ended."""
     import pyarrow as pa
@@ -103,13 +111,11 @@ class JournalReader(DataSourceReader):
         return list_journals(self.root, self.dataset, self.day)
 
     def read(self, partition: JournalFile) -> Iterator:
-        from pyarrow import fs
-
         if partition is None:  # no file that day
             return
-        filesystem, _ = fs.FileSystem.from_uri(_uri(self.root))
+        filesystem, inner = open_folder(partition.path)
         outcome: dict = {}
-        batches = _batches(filesystem, partition.path, outcome)
+        batches = _batches(filesystem, inner, outcome)
         if self.output == "rows":
             yield from self._conform(batches)
         elif self.output == "schema":

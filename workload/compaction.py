@@ -10,7 +10,7 @@ from headway.plans import compaction, store
 from headway.plans.compaction import Tables
 from headway.session import work_dir
 from headway.sources import files
-from headway.sources.journals import day_folder, journal_fields, read_journals
+from headway.sources.journals import day_folder, journal_fields, open_folder, read_journals
 from workload.tables import events, newest, table
 
 C = F.col
@@ -78,12 +78,11 @@ def write_journals(spark, sf_dir, root):
     folder = day_folder(root, "events", DAY)
 
     def write(batches):
-        import os
-
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        os.makedirs(folder, exist_ok=True)
+        filesystem, inner = open_folder(folder)
+        filesystem.create_dir(inner, recursive=True)
         writers, sinks = {}, {}
         for batch in batches:
             rows = pa.Table.from_batches([batch])
@@ -94,7 +93,8 @@ def write_journals(spark, sf_dir, root):
                                       part["value"].cast(pa.string()))
                     part = part.set_column(part.schema.get_field_index("value"), "value", text)
                 if number not in writers:
-                    sinks[number] = open(f"{folder}/journal_{number:03d}.ipc", "wb")
+                    sinks[number] = filesystem.open_output_stream(
+                        f"{inner}/journal_{number:03d}.ipc")
                     writers[number] = pa.ipc.new_stream(sinks[number], part.schema)
                 writers[number].write_table(part)
         for number, writer in writers.items():
@@ -104,14 +104,15 @@ def write_journals(spark, sf_dir, root):
                 sinks[number].write(b"\xff\xff\xff\xff\x00\x01\x00\x00damaged")
             sinks[number].close()
             if number == 7:
-                with open(f"{folder}/journal_007.ipc", "wb") as broken:
+                with filesystem.open_output_stream(f"{inner}/journal_007.ipc") as broken:
                     broken.write(b"not an arrow stream")
         yield pa.RecordBatch.from_pydict({"files": pa.array([len(writers)], pa.int64())})
 
     source = events(spark, sf_dir).withColumn("journal", C("user_id") % JOURNALS)
     source.repartition(JOURNALS, "journal").mapInArrow(write, "files bigint").write.format(
         "noop").mode("overwrite").save()
-    open(f"{folder}/journal_empty.ipc", "wb").close()
+    filesystem, inner = open_folder(folder)
+    filesystem.open_output_stream(f"{inner}/journal_empty.ipc").close()
 
 
 def _schema(spark, sf_dir):
