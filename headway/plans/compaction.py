@@ -16,7 +16,9 @@ from headway.operators import drift
 from headway.operators.ordered import latest_per_key
 from headway.plans import store
 from headway.schemas import COMPACTION_RUN, DATASETS
-from headway.sources.journals import journal_fields, list_journals, read_journals
+from headway.sources.journals import (
+    journal_fields, list_archived, list_journals, read_journals,
+)
 
 _SPARK_TYPES = {
     "int8": ByteType(), "int16": ShortType(), "int32": IntegerType(), "int64": LongType(),
@@ -127,18 +129,20 @@ _WIDENING = _widening_pairs()
 
 
 def compact_day(spark: SparkSession, tables: Tables, dataset: str, day: date, as_of: Column,
-                retention_days: int = 7) -> dict:
+                retention_days: int = 7, reprocess: bool = False) -> dict:
     """Compact one day and return its run record, which is always stored as well.
 
-    Running it again replaces the day: late journals need no special case.
-    Journals move to the archive only after the written rows were verified.
+    Journals move to the archive only after the written rows were verified.  Late
+    journals are compacted together with the archived ones, so the day is replaced
+    by the whole of it; once the archive has expired, only ``reprocess`` replaces
+    a stored day.  ``reprocess`` also compacts a day without new journals again.
     """
     started = time.monotonic()
     run = dict(date=day.isoformat(), daemon=dataset, status="failed", journals_found=0,
                journals_repaired=0, journals_skipped=0, rows_written=0, upload_bytes=0,
                elapsed_seconds=0.0, error=None)
     try:
-        _compact(spark, tables, dataset, day, as_of, retention_days, run)
+        _compact(spark, tables, dataset, day, as_of, retention_days, reprocess, run)
     except Exception as exc:  # the run record carries the failure
         run.update(status="failed", error=f"{type(exc).__name__}: {exc}"[:2000])
     finally:
@@ -157,20 +161,36 @@ def run_counters(status: DataFrame) -> DataFrame:
         F.count_if(state == "skipped").alias("journals_skipped"))
 
 
-def _compact(spark, tables, dataset, day, as_of, retention_days, run) -> None:
+def _compact(spark, tables, dataset, day, as_of, retention_days, reprocess, run) -> None:
     files = list_journals(tables.journals, dataset, day)
-    run["journals_found"] = len(files)
-    if not files:
+    archived = list_archived(tables.archive, dataset, day)
+    if not files and not (reprocess and archived):
         run["status"] = "partial"
         return
-    fields = journal_fields(spark, tables.journals, dataset, day)
+    stored = tables.dataset(dataset)
+    if not archived and not reprocess and store.stored_rows(spark, stored, day.isoformat()):
+        raise RuntimeError(f"{day} is stored and its archived journals are gone; "
+                           "reprocess to replace it")
+    # One row per file and column; kept, because drift is judged in several steps.
+    fields = journal_fields(spark, tables.journals, dataset, day, tables.archive).persist()
+    try:
+        _publish(spark, tables, dataset, day, fields, run)
+    finally:
+        fields.unpersist()
+    if run["status"] == "success":
+        _archive(spark, tables, dataset, day, [f.path for f in files])
+        store.prune(spark, f"{tables.archive}/{dataset}", retention_days, as_of)
+
+
+def _publish(spark, tables, dataset, day, fields, run) -> None:
     registry = load_registry(spark, tables, dataset)
     if registry is None and dataset in DATASETS:
         registry = drift.schema_fields(spark, DATASETS[dataset])
     observed = fields.groupBy("name", "type").agg(F.min("path").alias("path")).collect()
     expected = [] if registry is None else registry.collect()
     target = _target_schema(expected, observed)
-    rows, status = read_journals(spark, tables.journals, dataset, day, target)
+    rows, status = read_journals(
+        spark, tables.journals, dataset, day, target, tables.archive)
     run.update(run_counters(status).first().asDict())
     if run["journals_found"] == run["journals_skipped"]:
         run["status"] = "partial"
@@ -193,8 +213,6 @@ def _compact(spark, tables, dataset, day, as_of, retention_days, run) -> None:
     run["upload_bytes"] = store.day_bytes(spark, out, day.isoformat())
     bootstrap_registry(spark, tables, dataset, StructType(
         [f for f in target if f.name != drift.RESCUED]))
-    _archive(spark, tables, dataset, day, [f.path for f in files])
-    store.prune(spark, f"{tables.archive}/{dataset}", retention_days, as_of)
     run["status"] = "success"
 
 

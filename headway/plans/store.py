@@ -73,6 +73,8 @@ def move(spark: SparkSession, source: str, folder: str) -> str:
     _, target = _path(spark, folder)
     filesystem.mkdirs(target)
     goal = f"{folder.rstrip('/')}/{hadoop.getName()}"
+    if exists(spark, goal):
+        raise OSError(f"{goal} is already there")
     if not filesystem.rename(hadoop, _path(spark, goal)[1]):
         raise OSError(f"cannot move {source} to {folder}")
     return goal

@@ -47,9 +47,17 @@ def open_folder(path: str) -> tuple:
 
 def list_journals(root: str, dataset: str, day: date) -> list[JournalFile]:
     """``journal_*.ipc`` files of one day by name; empty files count, no folder is empty."""
+    return _journals_in(day_folder(root, dataset, day))
+
+
+def list_archived(archive: str, dataset: str, day: date) -> list[JournalFile]:
+    """Journals of a day that were archived after an earlier compaction."""
+    return _journals_in(f"{archive.rstrip('/')}/{dataset}/date={day.isoformat()}")
+
+
+def _journals_in(folder: str) -> list[JournalFile]:
     from pyarrow import fs
 
-    folder = day_folder(root, dataset, day)
     filesystem, inner = open_folder(folder)
     found = filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True))
     return sorted(
@@ -106,9 +114,11 @@ class JournalReader(DataSourceReader):
         self.root, self.dataset = options["path"], options["dataset"]
         self.day = date.fromisoformat(options["date"])
         self.output = options.get("output", "rows")
+        self.archive = options.get("archive")
 
     def partitions(self) -> list[InputPartition]:
-        return list_journals(self.root, self.dataset, self.day)
+        archived = (list_archived(self.archive, self.dataset, self.day) if self.archive else [])
+        return archived + list_journals(self.root, self.dataset, self.day)
 
     def read(self, partition: JournalFile) -> Iterator:
         if partition is None:  # no file that day
@@ -167,23 +177,27 @@ class ArrowJournal(DataSource):
 
 
 def _load(spark: SparkSession, root: str, dataset: str, day: date, output: str,
-          schema: StructType | None = None) -> DataFrame:
+          archive: str | None, schema: StructType | None = None) -> DataFrame:
     spark.dataSource.register(ArrowJournal)
     reader = spark.read.format("arrow_journal").options(
         dataset=dataset, date=day.isoformat(), output=output)
+    if archive is not None:
+        reader = reader.option("archive", archive)
     return (reader.schema(schema) if schema is not None else reader).load(root)
 
 
-def journal_status(spark: SparkSession, root: str, dataset: str, day: date) -> DataFrame:
-    return _load(spark, root, dataset, day, "status")
+def journal_status(spark: SparkSession, root: str, dataset: str, day: date,
+                   archive: str | None = None) -> DataFrame:
+    return _load(spark, root, dataset, day, "status", archive)
 
 
-def journal_fields(spark: SparkSession, root: str, dataset: str, day: date) -> DataFrame:
-    return _load(spark, root, dataset, day, "schema")
+def journal_fields(spark: SparkSession, root: str, dataset: str, day: date,
+                   archive: str | None = None) -> DataFrame:
+    return _load(spark, root, dataset, day, "schema", archive)
 
 
-def read_journals(spark: SparkSession, root: str, dataset: str, day: date,
-                  schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """``(rows, file_status)`` of one day."""
-    return (_load(spark, root, dataset, day, "rows", schema),
-            journal_status(spark, root, dataset, day))
+def read_journals(spark: SparkSession, root: str, dataset: str, day: date, schema: StructType,
+                  archive: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(rows, file_status)`` of one day; with ``archive`` its archived journals as well."""
+    return (_load(spark, root, dataset, day, "rows", archive, schema),
+            journal_status(spark, root, dataset, day, archive))

@@ -112,6 +112,27 @@ def test_compaction_with_drift_archive_and_rerun(spark, tmp_path):
     assert spark.read.parquet(tables.runs).count() == 2
 
 
+def test_late_journals_complete_the_day(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    day = dt.date(2026, 2, 17)
+    put_journals(tables, a=stream_bytes(batches()))
+    assert compaction.compact_day(spark, tables, "readings", day, now())["rows_written"] == 6
+    late = f"{day_folder(tables.journals, 'readings', day)}/journal_late.ipc"
+    with open(late, "wb") as f:
+        f.write(stream_bytes(batches()[:1]))
+    run = compaction.compact_day(spark, tables, "readings", day, now())
+    assert (run["status"], run["rows_written"], run["journals_found"]) == ("success", 9, 2)
+    assert spark.read.parquet(tables.dataset("readings")).count() == 9
+    again = compaction.compact_day(spark, tables, "readings", day, now(), reprocess=True)
+    assert (again["status"], again["rows_written"]) == ("success", 9)
+    store.delete(spark, f"{tables.archive}/readings")
+    with open(late, "wb") as f:
+        f.write(stream_bytes(batches()[:1]))
+    lost = compaction.compact_day(spark, tables, "readings", day, now())
+    assert lost["status"] == "failed" and "archived journals are gone" in lost["error"]
+    assert spark.read.parquet(tables.dataset("readings")).count() == 9
+
+
 def test_widening_within_a_day_and_bootstrap(spark, tmp_path):
     tables = Tables(str(tmp_path))
     put_journals(tables, a=stream_bytes(batches(pa.array([1, 2, 3], pa.int32()))),
