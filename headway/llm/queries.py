@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import simhash
+from headway.llm import lempel_ziv, simhash
 from headway.llm.frames import documents
 from headway.session import configure
 
@@ -13,5 +13,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(configure(spark), sf_dir), shingle=3, distance=2)
 
 
-QUERIES = {"op4_simhash": op4_simhash}
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lempel_ziv.without_repeats(documents(configure(spark), sf_dir), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "n_factors")
+
+
+QUERIES = {"op2_substring": op2_substring, "op4_simhash": op4_simhash}
 ORACLE: dict[str, str] = {}

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from headway.llm.frames import components, written
-from headway.llm.vectors import mix, slices, words
+from headway.llm.vectors import joined, mix, slices, words
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SEED = 42
@@ -36,13 +36,8 @@ def _fingerprints(shingle: int):
             for rows, raw, offsets in slices(batch, "text"):
                 starts, ends, first = words(raw, offsets)
                 # Words joined by one space: each shingle is then one run of bytes.
-                size = ends - starts
-                at = np.cumsum(size + 1) - size - 1
-                joined = np.full(int((size + 1).sum()), 32, np.uint8)
-                if len(starts):
-                    inside = np.repeat(starts - at, size) + _runs(at, size)
-                    joined[_runs(at, size)] = raw[inside]
-                text = joined.tobytes().translate(_LOWER)
+                line, at, size = joined(raw, starts, ends)
+                text = line.tobytes().translate(_LOWER)
                 out = np.zeros(rows.num_rows, np.uint64)
                 for i in range(rows.num_rows):
                     lo, hi = int(first[i]), int(first[i + 1])
@@ -57,11 +52,6 @@ def _fingerprints(shingle: int):
     return run
 
 
-def _runs(at: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """at[i], at[i] + 1 ... of each of the runs, one after the other."""
-    return np.arange(int(size.sum())) + np.repeat(at - (np.cumsum(size) - size), size)
-
-
 def _majority(h: np.ndarray) -> np.uint64:
     """Bits that are set in over half of the hashes."""
     counts = np.zeros(64, np.int64)

@@ -183,3 +183,17 @@ def covered(starts: np.ndarray, sizes: np.ndarray, length: int) -> np.ndarray:
     np.add.at(step, np.clip(starts, 0, length), 1)
     np.add.at(step, np.clip(starts + sizes, 0, length), -1)
     return np.cumsum(step[:-1]) > 0
+
+
+def runs(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """at[i], at[i] + 1 ... of each of the runs, one after the other."""
+    return np.arange(int(size.sum())) + np.repeat(at - (np.cumsum(size) - size), size)
+
+
+def joined(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words with a space after each: (bytes, where each word begins, its size)."""
+    size = ends - starts
+    at = np.cumsum(size + 1) - size - 1
+    out = np.full(int((size + 1).sum()), 32, np.uint8)
+    out[runs(at, size)] = raw[runs(starts, size)]
+    return out, at, size
