@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import lempel_ziv, simhash
+from headway.llm import lempel_ziv, simhash, suffixes
 from headway.llm.frames import documents
 from headway.session import configure
 
@@ -18,5 +18,10 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "n_factors")
 
 
-QUERIES = {"op2_substring": op2_substring, "op4_simhash": op4_simhash}
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.without_later_repeats(documents(configure(spark), sf_dir), window=100)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
 ORACLE: dict[str, str] = {}
