@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import lempel_ziv, simhash, suffixes
+from headway.llm import decontaminate, lempel_ziv, simhash, suffixes
 from headway.llm.frames import documents
 from headway.session import configure
 
@@ -23,5 +23,10 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = configure(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.leaks(documents(spark, sf_dir), benchmark)
+
+
+QUERIES = {"op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
 ORACLE: dict[str, str] = {}
