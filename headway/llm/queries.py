@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import decontaminate, lempel_ziv, simhash, suffixes
+from headway.llm import decontaminate, lempel_ziv, packing, simhash, suffixes
 from headway.llm.frames import documents
 from headway.session import configure
 
@@ -28,5 +28,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), benchmark)
 
 
-QUERIES = {"op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(configure(spark), sf_dir), tokenizer_path(), capacity=2048)
+
+
+QUERIES = {"op5_packing": op5_packing, "op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
 ORACLE: dict[str, str] = {}
