@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import decontaminate, lempel_ziv, packing, simhash, suffixes
+from headway.llm import decontaminate, lempel_ziv, packing, rules, simhash, suffixes
 from headway.llm.frames import documents
 from headway.session import configure
 
@@ -38,5 +38,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(configure(spark), sf_dir), tokenizer_path(), capacity=2048)
 
 
-QUERIES = {"op5_packing": op5_packing, "op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return rules.judged(docs, labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {"op6_quality": op6_quality, "op5_packing": op5_packing, "op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
 ORACLE: dict[str, str] = {}
