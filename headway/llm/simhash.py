@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from headway.llm.frames import components, written
 from headway.llm.vectors import joined, mix, slices, words
 
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SEED = 42
 #: Points that a shard's tree is planned for; more levels are cut for more points.
 SHARD_POINTS = 1 << 15
@@ -37,7 +37,7 @@ def _fingerprints(shingle: int):
                 starts, ends, first = words(raw, offsets)
                 # Words joined by one space: each shingle is then one run of bytes.
                 line, at, size = joined(raw, starts, ends)
-                text = line.tobytes().translate(_LOWER)
+                text = line.tobytes().translate(LOWER)
                 out = np.zeros(rows.num_rows, np.uint64)
                 for i in range(rows.num_rows):
                     lo, hi = int(first[i]), int(first[i + 1])
