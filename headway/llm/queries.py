@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from headway.llm import chat, decontaminate, lempel_ziv, line_templates, maxent, packing, rules, simhash, suffixes, web_pages
-from headway.llm.frames import documents
+from headway.llm.frames import documents, written
 from headway.session import configure
 
 
@@ -41,7 +41,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    return rules.judged(docs, labels).select(
+    measures = written(rules.measured(docs).drop("text"), "measures")
+    return rules.judged(measures, rules.learned(measures, labels)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

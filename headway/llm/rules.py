@@ -146,26 +146,38 @@ def cutoffs(labelled: DataFrame, stratum: str, risk: float = RISK, delta: float
             .groupBy(stratum, "feature").agg(F.min("cutoff").alias("cutoff")))
 
 
-def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **how) -> DataFrame:
-    """The documents with their counts, ``base_failed`` and ``kept``.
+def learned(measures: DataFrame, labels: DataFrame, stratum: str = "lang", **how) -> DataFrame:
+    """Accepted cutoffs, one row per stratum and one column per feature.
+
+    ``measures``: measured documents with their doc_id and stratum; texts are not needed.
+    Null or contradicting labels count for nothing (a doc_id labelled both ways is left
+    out), repeated ones once; null ids have no label.
+    """
+    clear = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
+             .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = 1 and other = 1").select("doc_id"))
+    good = measures.withColumn("stratum", _stratum(stratum)).join(clear, "doc_id")
+    return cutoffs(good, "stratum", **how).groupBy("stratum").pivot("feature", list(GRID)).agg(F.min("cutoff"))
+
+
+def _stratum(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def judged(measures: DataFrame, rules: DataFrame, stratum: str = "lang") -> DataFrame:
+    """Measured documents with ``base_failed`` and ``kept``.
 
     A document is dropped if it fails the base rules (under 50 words, or over half of them
     in repeated three-word windows) or exceeds an accepted cutoff of its stratum.  Strata
     without enough labelled good documents have no rules and drop nothing more.  A null
-    text has no words and fails; a null stratum is a stratum; null or contradicting labels
-    count for nothing (a doc_id labelled both ways is left out), repeated ones once; null
-    ids have no label.  Empty tables give empty results.  Rows are never merged.
+    text has no words and fails; a null stratum is the stratum of the empty text.  Empty
+    tables give empty results.  Rows are judged one by one, never merged.
     """
-    clear = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
-             .agg(F.min("quality").alias("quality"), F.max("quality").alias("__other")).filter("quality = __other").drop("__other"))
-    placed = docs.withColumn("__stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
-    good = placed.select("doc_id", "text", "__stratum").join(clear.filter("quality = 1"), "doc_id")
-    rules = cutoffs(measured(good), "__stratum", **how)
-    known = measured(placed).withColumn("base_failed", base_failed())
-    each = rules.groupBy("__stratum").pivot("feature", list(GRID)).agg(F.min("cutoff"))
+    of = rules.select(F.col("stratum").alias("__stratum"), *(F.col(f).alias(f"__{f}") for f in GRID))
+    known = measures.withColumns({"base_failed": base_failed(), "__s": _stratum(stratum)}).join(
+        of, F.col("__s") == F.col("__stratum"), "left")
     exceeds = F.lit(False)
     for name, value in features().items():
         exceeds = exceeds | F.coalesce(value > F.col(f"__{name}"), F.lit(False))
-    each = each.select("__stratum", *(F.col(f).alias(f"__{f}") for f in GRID))
-    return (known.join(each, "__stratum", "left").withColumn("kept", ~F.col("base_failed") & ~exceeds)
-            .drop("__stratum", *(f"__{f}" for f in GRID)))
+    # A sum, which a filter on it cannot take apart and so evaluate twice.
+    kept = F.col("base_failed").cast("int") + exceeds.cast("int") == 0
+    return known.withColumn("kept", kept).drop("__s", "__stratum", *(f"__{f}" for f in GRID))
