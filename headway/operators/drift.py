@@ -18,7 +18,7 @@ from headway.functions.status import is_widening
 ARROW_NAMES = {
     "tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64",
     "float": "float", "double": "double", "string": "string", "boolean": "bool",
-    "timestamp": "timestamp[us]", "timestamp_ntz": "timestamp[us]", "date": "date32[day]",
+    "timestamp": "timestamp[us]", "timestamp_ntz": "timestamp[us]",
 }
 BREAKING = ("removed", "type", "nullability")
 RESCUED = "_rescued"
@@ -70,8 +70,8 @@ def field_changes(registry: DataFrame, observed: DataFrame, by: Sequence[str],
     seen = matched.groupBy(*by).agg(F.collect_set(F.when(known, F.col("name"))).alias("seen"))
     entry = registry.groupBy(*on).agg(F.collect_list(F.struct(
         "name", without_zone(F.col("type")).alias("type"), "nullable")).alias("fields"))
-    both = seen.join(entry, on) if on else seen.withColumn("__one", F.lit(1)).join(
-        entry.withColumn("__one", F.lit(1)), "__one")
+    # Without a key there is one entry: its field list is a scalar of the plan, not a join.
+    both = seen.join(entry, on) if on else seen.withColumn("fields", entry.select("fields").scalar())
     removed = both.select(*by, F.explode(F.filter(
         "fields", lambda f: ~F.array_contains("seen", f.getField("name")))).alias("f")).select(
         *by, F.col("f.name").alias("name"), F.lit("removed").alias("change"),

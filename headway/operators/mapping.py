@@ -12,8 +12,8 @@ from headway.operators.ordered import latest_per_key
 
 def latest_mapping(changes: DataFrame, keys: Sequence[str],
                    order: Sequence[str] = ("updated_at",)) -> DataFrame:
-    """Current value per key; a row with ``deleted`` true is a tombstone."""
-    return latest_per_key(changes, keys, order).filter(~F.col("deleted")).drop("deleted")
+    """Current value per key; a row with ``deleted`` true is a tombstone, NULL is not."""
+    return latest_per_key(changes, keys, order).filter(~F.coalesce(F.col("deleted"), F.lit(False))).drop("deleted")
 
 
 def fresh(mapping: DataFrame, ttl_s: float | None, as_of: Column) -> DataFrame:

@@ -19,9 +19,12 @@ _OCTAVE_OFFSET = 1075 * _PER_OCTAVE  # lifts the smallest double's bucket above
 
 
 def value_bucket(x: Column) -> Column:
-    """Monotone integer bucket of a double; zero is bucket 0."""
+    """Monotone integer bucket of a double; zero is bucket 0, infinities and NaN have the ends."""
     size = F.floor(F.log2(F.abs(x)) * _PER_OCTAVE) + F.lit(_OCTAVE_OFFSET)
-    return F.when(x == 0, F.lit(0)).when(x > 0, size).otherwise(-size)
+    last = F.lit(2 * _OCTAVE_OFFSET)
+    return (F.when(F.isnan(x), last + 1).when(x == 0, F.lit(0).cast("long"))
+            .when(F.abs(x) == float("inf"), F.when(x > 0, last).otherwise(-last))
+            .when(x > 0, size).otherwise(-size))
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str, *extra: Column) -> DataFrame:
@@ -105,12 +108,18 @@ def _rank(total: Column, pct: int, upper: bool) -> Column:
 def _interpolate(low: Column, high: Column, total: Column, pct: int) -> Column:
     at = _position(total, pct)
     below, above = _rank(total, pct, False), _rank(total, pct, True)
-    return F.when(below == above, low).otherwise(low * (above - at) + high * (at - below))
+    # A position on a rank is that rank's value, also beside an infinite neighbour.
+    return F.when((below == above) | (at == below), low).otherwise(low * (above - at) + high * (at - below))
 
 
-def approximate_percentiles(hist: DataFrame, keys: Sequence[str], value: str,
+def approximate_percentiles(rows: DataFrame, keys: Sequence[str], value: str,
                             percents: Sequence[int], accuracy: int = 10000) -> DataFrame:
-    """Sketch-based alternative with bounded state; weights come from the histogram."""
-    return hist.groupBy(*keys).agg(*[
-        F.round(F.percentile_approx(F.col(value), p / 100.0, accuracy), 2).alias(f"p{p}")
-        for p in percents])
+    """Sketch-based alternative with bounded state, over raw rows: repeated values count.
+
+    The rank of the result is within ``1 / accuracy`` of the group's size of the wanted one;
+    like the exact form, groups without a non-NULL value yield no row.
+    """
+    sketches = F.percentile_approx(value, F.array(*(F.lit(p / 100.0) for p in percents)), accuracy)
+    found = rows.filter(F.col(value).isNotNull()).groupBy(*keys).agg(sketches.alias("__p"))
+    return found.select(*keys, *[
+        py_round(F.get("__p", F.lit(i)).cast("double"), 2).alias(f"p{p}") for i, p in enumerate(percents)])

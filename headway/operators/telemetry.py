@@ -29,10 +29,15 @@ REPORT_COLUMNS = {
 }
 
 
+def _good() -> Column:
+    """A span without a known outcome counts as failed, everywhere."""
+    return F.coalesce(F.col("ok"), F.lit(False))
+
+
 def span_counts(spans: DataFrame, keys: Sequence[str] = ("daemon", "span")) -> DataFrame:
     """Calls and failed calls per span."""
     return spans.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("calls"), F.count_if(~F.col("ok")).alias("errors"))
+        F.count(F.lit(1)).alias("calls"), F.count_if(~_good()).alias("errors"))
 
 
 def error_type_counts(events: DataFrame) -> DataFrame:
@@ -45,37 +50,31 @@ def error_type_counts(events: DataFrame) -> DataFrame:
 def duration_summary(spans: DataFrame, keys: Sequence[str] = ("daemon", "span"),
                      percents: Sequence[int] = (50, 95), exact: bool = True) -> DataFrame:
     """``p<percent>_ms`` per span over all its durations."""
-    found = _percentiles(histogram(spans, keys, "elapsed_ms"), keys, percents, exact)
+    found = (exact_percentiles(histogram(spans, keys, "elapsed_ms"), keys, "elapsed_ms", percents) if exact
+             else approximate_percentiles(spans, keys, "elapsed_ms", percents))
     return found.select(*keys, *[F.col(f"p{p}").alias(f"p{p}_ms") for p in percents])
 
 
-def _percentiles(hist: DataFrame, keys: Sequence[str], percents: Sequence[int],
-                 exact: bool) -> DataFrame:
-    if exact:
-        return exact_percentiles(hist, keys, "elapsed_ms", percents)
-    return approximate_percentiles(hist, keys, "elapsed_ms", percents)
-
-
 def span_metrics(spans: DataFrame, as_of: Column, windows_s: Sequence[int] = WINDOWS_S,
                  exact: bool = True) -> DataFrame:
     """Success and error rate, calls and percentiles per daemon, window and span.
 
     ``span`` is NULL in the row over all spans of a daemon, which has no
-    percentiles.  A window includes both its edges; all windows share one pass.
+    percentiles.  A window includes both its edges, so that spans after ``as_of`` belong to
+    none; all windows share one pass, and the longest bounds the scan by time.
     """
     keys = ["daemon", "window_s", "span"]
-    age = F.unix_micros(as_of) - F.unix_micros("ts")
-    member = F.array_compact(F.array(*[
-        F.when(F.col("__age") <= F.lit(w * 1_000_000), F.lit(w)) for w in windows_s]))
+    since = {w: as_of - F.make_dt_interval(secs=F.lit(w)) for w in windows_s}
+    member = F.array_compact(F.array(*[F.when(F.col("ts") >= since[w], F.lit(w)) for w in windows_s]))
     recent = (
-        spans.withColumn("__age", age)
-        .filter((F.col("__age") >= 0) & (F.col("__age") <= F.lit(max(windows_s) * 1_000_000)))
-        .select("daemon", "span", "ok", "elapsed_ms", F.explode(member).alias("window_s"))
+        spans.filter((F.col("ts") <= as_of) & (F.col("ts") >= since[max(windows_s)]))
+        .select("daemon", "span", _good().alias("ok"), "elapsed_ms", F.explode(member).alias("window_s"))
     )
     hist = histogram(recent, keys, "elapsed_ms", F.count_if("ok").alias("n_ok"))
     counts = hist.groupBy(*keys).agg(
         F.sum("n").alias("total_calls"), F.sum("n_ok").alias("good"))
-    tails = _percentiles(hist, keys, PERCENTS, exact)
+    tails = (exact_percentiles(hist, keys, "elapsed_ms", PERCENTS) if exact
+             else approximate_percentiles(recent, keys, "elapsed_ms", PERCENTS))
     same = None
     for k in keys:
         match = F.col(f"c.{k}").eqNullSafe(F.col(f"t.{k}"))

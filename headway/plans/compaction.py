@@ -6,10 +6,11 @@ import time
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     BooleanType, ByteType, DoubleType, FloatType, IntegerType, LongType, MapType, ShortType,
-    StringType, StructField, StructType, TimestampType,
+    StringType, StructField, StructType, TimestampType, _parse_datatype_string,
 )
 
 from headway.operators import drift
@@ -28,13 +29,26 @@ _RANK = ["int8", "int16", "int32", "int64", "float", "double"]
 
 
 def spark_type(names: Sequence[str]):
-    """Type that holds all the given Arrow types: the widest number, else text."""
+    """Type that holds all the given types: the widest number, else text.
+
+    Names are Arrow's for plain types and Spark's for dates, decimals, binaries and nested types.
+    """
     plain = {n.split(",")[0].rstrip("]") for n in names}
     if all(n in _RANK for n in names):
         return _SPARK_TYPES[max(names, key=_RANK.index)]
     if len(plain) == 1 and next(iter(plain)).startswith("timestamp["):
         return TimestampType()
-    return _SPARK_TYPES.get(names[0], StringType()) if len(set(names)) == 1 else StringType()
+    if len(set(names)) > 1:
+        return StringType()
+    return _SPARK_TYPES.get(names[0]) or _parsed(names[0])
+
+
+def _parsed(name: str):
+    """Type of one name of ``arrow_type_name``; text where Spark has no such type."""
+    try:
+        return _parse_datatype_string(name)
+    except ParseException:
+        return StringType()
 
 
 class Tables:
@@ -97,7 +111,8 @@ def promote_schema(spark: SparkSession, tables: Tables, dataset: str) -> int | N
         store.partitions(spark, tables.dataset(dataset)).select(F.max("path")).first()[0])
     if newest is None:
         return None
-    return save_registry(spark, tables, dataset, spark.read.parquet(newest).schema)
+    stored = spark.read.parquet(newest).schema
+    return save_registry(spark, tables, dataset, StructType([f for f in stored if f.name != drift.RESCUED]))
 
 
 def _target_schema(registry: Sequence, observed: Sequence) -> StructType:
@@ -144,7 +159,7 @@ def compact_day(spark: SparkSession, tables: Tables, dataset: str, day: date, as
     try:
         _compact(spark, tables, dataset, day, as_of, retention_days, reprocess, run)
     except Exception as exc:  # the run record carries the failure
-        run.update(status="failed", error=f"{type(exc).__name__}: {exc}"[:2000])
+        run.update(status="failed", error=f"{type(exc).__name__}: {exc}")
     finally:
         run["elapsed_seconds"] = time.monotonic() - started
         spark.createDataFrame([tuple(run[f.name] for f in COMPACTION_RUN)], COMPACTION_RUN) \
@@ -158,7 +173,8 @@ def run_counters(status: DataFrame) -> DataFrame:
     return status.agg(
         F.count(F.lit(1)).alias("journals_found"),
         F.count_if(state == "repaired").alias("journals_repaired"),
-        F.count_if(state == "skipped").alias("journals_skipped"))
+        F.count_if(state == "skipped").alias("journals_skipped"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_read"))
 
 
 def _compact(spark, tables, dataset, day, as_of, retention_days, reprocess, run) -> None:
@@ -191,7 +207,9 @@ def _publish(spark, tables, dataset, day, fields, run) -> None:
     target = _target_schema(expected, observed)
     rows, status = read_journals(
         spark, tables.journals, dataset, day, target, tables.archive)
-    run.update(run_counters(status).first().asDict())
+    counters = run_counters(status).first().asDict()
+    expected = counters.pop("rows_read")
+    run.update(counters)
     if run["journals_found"] == run["journals_skipped"]:
         run["status"] = "partial"
         return
@@ -209,7 +227,7 @@ def _publish(spark, tables, dataset, day, fields, run) -> None:
             rows = rows.withMetadata(
                 first, {"schema_drift": "true", "drift_summary": found["drift_summary"]})
     out = tables.dataset(dataset)
-    run["rows_written"], _ = store.publish_day(rows, out, day.isoformat())
+    run["rows_written"], _ = store.publish_day(rows, out, day.isoformat(), expected)
     run["upload_bytes"] = store.day_bytes(spark, out, day.isoformat())
     bootstrap_registry(spark, tables, dataset, StructType(
         [f for f in target if f.name != drift.RESCUED]))
@@ -248,6 +266,17 @@ def runs_with_drift(runs: DataFrame, flags: DataFrame) -> DataFrame:
         .withColumn("drift", F.coalesce("drift", F.lit("?")))
 
 
+def stored_drift(runs: DataFrame, drift_events: DataFrame) -> DataFrame:
+    """Drift flag of every stored day: ``DRIFT`` where a breaking file was recorded, else ``OK``.
+
+    Days without a successful run are not stored and have no flag.
+    """
+    events = drift_events.select(F.col("dataset").alias("daemon"), "date").distinct().withColumn("__hit", F.lit(True))
+    days = runs.filter("status = 'success'").select("daemon", "date").distinct()
+    return days.join(events, ["daemon", "date"], "left").select(
+        "daemon", "date", F.when(F.col("__hit"), "DRIFT").otherwise("OK").alias("drift"))
+
+
 def latest_runs(runs: DataFrame) -> DataFrame:
     """Newest run per dataset."""
     return latest_per_key(runs, ["daemon"], ["date", "elapsed_seconds"])

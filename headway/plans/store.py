@@ -28,25 +28,43 @@ def write_dataset(df: DataFrame, root: str, ts: str, mode: str = "append",
      .write.mode(mode).partitionBy("date").option("compression", "snappy").parquet(root))
 
 
-def publish_day(df: DataFrame, root: str, date: str) -> tuple[int, int]:
-    """Replace one day and verify it: ``(rows written, rows replaced)``.
+def publish_day(df: DataFrame, root: str, date: str, expected: int | None = None) -> tuple[int, int]:
+    """Replace one day by a verified copy: ``(rows written, rows replaced)``.
 
-    Rows are counted while they are written and again from the stored files; a
-    difference fails the job.
+    Rows are written to a staging folder, counted while they are written, counted again
+    from the stored files and compared with ``expected``; only then does the staged day
+    take the place of the live one.  Whatever fails before leaves the live day as it is.
     """
     spark = df.sparkSession
     replaced = stored_rows(spark, root, date)
+    staging = f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex[:12]}"  # hidden from readers
     seen = Observation(f"publish-{uuid.uuid4().hex[:8]}")
-    (df.drop("date").observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance")
-     .write.mode("overwrite").option("compression", "snappy")
-     .parquet(day_path(root, date)))
-    written = seen.get["n"]
-    stored = stored_rows(spark, root, date)
-    if stored != written:
-        raise RuntimeError(f"row count mismatch for {date}: wrote {written}, stored {stored}")
+    try:
+        (df.drop("date").observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance")
+         .write.option("compression", "snappy").parquet(day_path(staging, date)))
+        written = seen.get["n"]
+        counts = [written, stored_rows(spark, staging, date), *([] if expected is None else [expected])]
+        if len(set(counts)) > 1:
+            raise RuntimeError(f"row count mismatch for {date}: written, stored, expected {counts}")
+        _swap(spark, day_path(staging, date), day_path(root, date), f"{staging}/replaced")
+    finally:
+        delete(spark, staging)
     return written, replaced
 
 
+def _swap(spark: SparkSession, staged: str, live: str, aside: str) -> None:
+    """Put a staged folder in the place of the live one, which goes back if that fails."""
+    filesystem, target = _path(spark, live)
+    kept = _path(spark, aside)[1]
+    had = filesystem.exists(target)
+    if had and not filesystem.rename(target, kept):
+        raise OSError(f"cannot set {live} aside")
+    if not filesystem.rename(_path(spark, staged)[1], target):
+        if had:
+            filesystem.rename(kept, target)
+        raise OSError(f"cannot publish {live}")
+
+
 def day_path(root: str, date: str) -> str:
     return f"{root.rstrip('/')}/date={date}"
 

@@ -99,11 +99,24 @@ def weather_payloads(spark: SparkSession, path: str, provider: str) -> DataFrame
         F.col("provider") == provider).drop("provider")
 
 
-def list_rows(raw: DataFrame) -> DataFrame:
-    """Pages holding a JSON list each to one payload per element (all pages at once)."""
-    return raw.select(F.explode(F.try_variant_get(
-        F.try_parse_json("payload"), "$", "array<variant>")).alias("v")).select(
+def list_pages(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)``: one payload per element of pages that hold a JSON list each.
+
+    A page that is no JSON or no list is rejected as a whole, with its reason.
+    """
+    parsed = raw.withColumn("__v", F.try_parse_json("payload"))
+    parsed = parsed.withColumn("__list", F.try_variant_get("__v", "$", "array<variant>"))
+    rows = parsed.filter(F.col("__list").isNotNull()).select(F.explode("__list").alias("v")).select(
         F.to_json("v").alias("payload"))
+    rejected = parsed.filter(F.col("__list").isNull()).withColumn(
+        "reason", F.when(F.col("payload").isNull(), "empty page").when(F.col("__v").isNull(), "page is not JSON")
+        .otherwise("page is not a list")).drop("__v", "__list")
+    return rows, rejected
+
+
+def list_rows(raw: DataFrame) -> DataFrame:
+    """The elements of ``list_pages`` only."""
+    return list_pages(raw)[0]
 
 
 FOOTER_SCHEMA = ("path string, num_rows bigint, key_values map<string,string>, "
@@ -159,7 +172,12 @@ def footer_gaps(footers: DataFrame) -> DataFrame:
 
 
 def footer_drift(footers: DataFrame) -> DataFrame:
-    """``DRIFT``, ``OK`` or ``?`` (unreadable) per file."""
-    return footers.select("path", F.when(F.col("num_rows").isNull(), "?").when(
-        F.col("key_values").getItem("schema_drift") == "true", "DRIFT").otherwise("OK")
-        .alias("drift"))
+    """``DRIFT``, ``OK`` or ``?`` (unreadable) per file.
+
+    A file's flag is in its key/value metadata if another writer left it there, and in the
+    metadata of a column of the Spark schema in files that compaction published.
+    """
+    values = F.col("key_values")
+    flag = F.get_json_object(values.getItem("org.apache.spark.sql.parquet.row.metadata"), "$.fields[*].metadata.schema_drift")
+    drifted = F.coalesce(values.getItem("schema_drift") == "true", F.lit(False)) | F.coalesce(flag.contains("true"), F.lit(False))
+    return footers.select("path", F.when(F.col("num_rows").isNull(), "?").when(drifted, "DRIFT").otherwise("OK").alias("drift"))

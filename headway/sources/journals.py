@@ -24,6 +24,21 @@ STATUS_SCHEMA = "path string, bytes bigint, status string, batches bigint, rows
 FIELD_SCHEMA = "path string, name string, type string, nullable boolean"
 
 
+def arrow_type_name(arrow_type) -> str:
+    """Arrow's name of plain types; of others, the name of the Spark type they become."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    name = str(arrow_type)
+    if pa.types.is_nested(arrow_type) or pa.types.is_decimal(arrow_type) or pa.types.is_date(arrow_type) \
+            or pa.types.is_binary(arrow_type) or pa.types.is_large_binary(arrow_type):
+        try:
+            return from_arrow_type(arrow_type).simpleString()
+        except Exception:  # a type that Spark lacks keeps its own name
+            return name
+    return name
+
+
 @dataclass
 class JournalFile(InputPartition):
     path: str
@@ -76,6 +91,9 @@ def _batches(filesystem, path: str, outcome: dict) -> Iterator:
             reader = pa.ipc.open_stream(stream)
         except pa.ArrowInvalid:
             return
+        except OSError:
+            _raise_unless_at_end(stream)
+            return
         outcome["schema"] = reader.schema
         while True:
             try:
@@ -83,11 +101,23 @@ def _batches(filesystem, path: str, outcome: dict) -> Iterator:
             except StopIteration:
                 outcome["clean"] = True
                 return
-            except (pa.ArrowInvalid, OSError):
+            except pa.ArrowInvalid:
+                return
+            except OSError:
+                _raise_unless_at_end(stream)
                 return
             yield batch
 
 
+def _raise_unless_at_end(stream) -> None:
+    """Called for a failed read: a file that simply ends too early was read to its end.
+
+    Anything else is a fault of the storage; the task fails and is tried again.
+    """
+    if stream.tell() < stream.size():
+        raise
+
+
 def _fit(column, wanted) -> tuple:
     """Column cast to the wanted type, and the text of values that do not cast."""
     import pyarrow as pa
@@ -131,7 +161,7 @@ class JournalReader(DataSourceReader):
         elif self.output == "schema":
             if next(batches, None) is not None:
                 for field in outcome["schema"]:
-                    yield (partition.path, field.name, str(field.type), field.nullable)
+                    yield (partition.path, field.name, arrow_type_name(field.type), field.nullable)
         else:
             count = rows = 0
             for batch in batches:

@@ -33,15 +33,20 @@ def positions(raw: DataFrame, dedup_within: str | None = None) -> tuple[DataFram
 
 
 def append(stream: DataFrame, ts: str, out: str, checkpoint: str,
-           interval: str | None = "15 minutes") -> StreamingQuery:
+           interval: str | None = "15 minutes", salts: int = 1) -> StreamingQuery:
     """Append to ``year=/month=/day=`` folders of each row's own service day.
 
-    Without an interval the query takes what has landed and ends.
+    Each micro-batch is shuffled by day and ``salts`` parts of it, so that a day gets at
+    most so many files from it, whatever the number of tasks.  Without an interval the
+    query takes what has landed and ends.
     """
     day = service_date(F.col(ts))
+    salt = F.pmod(F.xxhash64(*stream.columns), F.lit(salts))
+    dated = stream.withColumns({"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM"),
+                                "day": F.date_format(day, "dd"), "__salt": salt})
+    parts = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = (
-        stream.withColumns({"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM"),
-                            "day": F.date_format(day, "dd")})
+        dated.repartition(parts, "year", "month", "day", "__salt").drop("__salt")
         .writeStream.format("parquet").partitionBy("year", "month", "day")
         .option("path", out).option("checkpointLocation", checkpoint).outputMode("append"))
     if interval is None:

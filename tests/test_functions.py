@@ -89,8 +89,8 @@ def test_staleness_is_strict(spark):
 
 
 @pytest.mark.parametrize("row, expected", [
-    (("VehicleTrackerAPIError", "x", None, "102"), "daily_quota"),
-    (("VehicleTrackerAPIError", "x", None, "999"), "configuration"),
+    (("BodyCodeError", "x", None, "102"), "daily_quota"),
+    (("BodyCodeError", "x", None, "999"), "configuration"),
     (("ConfigurationError", "x", None, None), "configuration"),
     (("APIResponseError", "x", None, None), "transient"),
     (("ValueError", "key is Missing", None, None), "configuration"),
@@ -105,7 +105,7 @@ def test_staleness_is_strict(spark):
     ((None, None, None, None), "unknown"),
 ])
 def test_error_category(spark, row, expected):
-    got = values(spark, fn.error_category(*map(F.col, "tmsc")), [row],
+    got = values(spark, fn.error_category(*map(F.col, "tmsc"), body_code_types=("BodyCodeError",)), [row],
                  "t string, m string, s int, c string")
     assert got == [expected]
 

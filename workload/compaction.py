@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -35,8 +35,8 @@ def run_summary(spark, sf_dir):
 
 
 def runs_with_drift(spark, sf_dir):
-    """A stored day is drifted when one of every tenth orders is above 300000."""
-    flags = _orders(spark, sf_dir).filter("o_orderkey % 10 = 0").groupBy(
+    """A stored day (one with an order that did not fail) is drifted when one is above 300000."""
+    flags = _orders(spark, sf_dir).filter("o_orderstatus = 'O'").groupBy(
         C("o_orderpriority").alias("daemon"), F.date_format("ts", "yyyy-MM-dd").alias("date")
     ).agg(F.when(F.max("o_totalprice") > 300000, "DRIFT").otherwise("OK").alias("drift"))
     return compaction.runs_with_drift(_runs(spark, sf_dir), flags)
@@ -69,13 +69,15 @@ def partition_roundtrip(spark, sf_dir):
 
 DAY = date(2024, 2, 1)
 JOURNALS = 16
+SLICE_DAYS = 10
 
 
-def write_journals(spark, sf_dir, root):
-    """All events as 16 journal files by user; even ones as they are, odd ones with the
-    value as text.  File 5 lacks its end mark, 6 has a damaged tail, 7 a damaged header,
-    and an empty file lies next to them."""
-    folder = day_folder(root, "events", DAY)
+def write_journals(spark, sf_dir, root, day=DAY, part=None, drifted=True):
+    """All events as journal files by writer (user modulo 16) and slice of time, so that a
+    file is bounded by its slice; even writers' as they are, odd ones' with the value as
+    text.  Files of writer 5 lack their end mark, those of 6 have a damaged tail, those of 7
+    a damaged header, and an empty file lies next to them."""
+    folder = day_folder(root, "events", day)
 
     def write(batches):
         import pyarrow as pa
@@ -86,33 +88,37 @@ def write_journals(spark, sf_dir, root):
         writers, sinks = {}, {}
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            for number in pc.unique(rows["journal"]).to_pylist():
-                part = rows.filter(pc.equal(rows["journal"], number)).drop_columns(["journal"])
-                if number % 2:
+            for name in pc.unique(rows["journal"]).to_pylist():
+                number = int(name[:3])
+                part = rows.filter(pc.equal(rows["journal"], name)).drop_columns(["journal"])
+                if number % 2 and drifted:
                     text = pc.if_else(pc.equal(part["event_type"], "error"), "n/a",
                                       part["value"].cast(pa.string()))
                     part = part.set_column(part.schema.get_field_index("value"), "value", text)
-                if number not in writers:
-                    sinks[number] = filesystem.open_output_stream(
-                        f"{inner}/journal_{number:03d}.ipc")
-                    writers[number] = pa.ipc.new_stream(sinks[number], part.schema)
-                writers[number].write_table(part)
-        for number, writer in writers.items():
+                if name not in writers:
+                    sinks[name] = filesystem.open_output_stream(f"{inner}/journal_{name}.ipc")
+                    writers[name] = pa.ipc.new_stream(sinks[name], part.schema)
+                writers[name].write_table(part)
+        for name, writer in writers.items():
+            number = int(name[:3])
             if number not in (5, 6):
                 writer.close()
             if number == 6:
-                sinks[number].write(b"\xff\xff\xff\xff\x00\x01\x00\x00damaged")
-            sinks[number].close()
+                sinks[name].write(b"\xff\xff\xff\xff\x00\x01\x00\x00damaged")
+            sinks[name].close()
             if number == 7:
-                with filesystem.open_output_stream(f"{inner}/journal_007.ipc") as broken:
+                with filesystem.open_output_stream(f"{inner}/journal_{name}.ipc") as broken:
                     broken.write(b"not an arrow stream")
         yield pa.RecordBatch.from_pydict({"files": pa.array([len(writers)], pa.int64())})
 
-    source = events(spark, sf_dir).withColumn("journal", C("user_id") % JOURNALS)
-    source.repartition(JOURNALS, "journal").mapInArrow(write, "files bigint").write.format(
+    since = F.floor(F.unix_micros("ts") / (SLICE_DAYS * 86_400_000_000))
+    source = events(spark, sf_dir).withColumn("journal", F.format_string("%03d_%d", C("user_id") % JOURNALS, since))
+    if part is not None:  # the slices of even or of odd number
+        source = source.filter(since % 2 == part)
+    source.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "journal").mapInArrow(write, "files bigint").write.format(
         "noop").mode("overwrite").save()
     filesystem, inner = open_folder(folder)
-    filesystem.open_output_stream(f"{inner}/journal_empty.ipc").close()
+    filesystem.open_output_stream(f"{inner}/journal_empty{'' if part is None else part}.ipc").close()
 
 
 def _schema(spark, sf_dir):
@@ -168,10 +174,76 @@ def compaction_run(spark, sf_dir):
 
 def compacted_rows(spark, sf_dir):
     tables = _compacted(spark, sf_dir)
-    return files.dataset(spark, tables.dataset("events")).groupBy(
-        C("date").cast("string").alias("date"), "event_type").agg(
-        F.count(F.lit(1)).alias("records"), F.count("value").alias("with_value"),
-        F.count("_rescued").alias("rescued"))
+    return _stored_events(spark, tables)
+
+
+def _stored_events(spark, tables):
+    return files.dataset(spark, tables.dataset("events")).select(
+        C("date").cast("string").alias("date"), "event_id", "user_id", F.unix_micros("ts").alias("us"), "event_type", "value",
+        C("_rescued")["value"].alias("rescued"))
+
+
+def compact_after_promote(spark, sf_dir):
+    """The stored day's schema is registered as the next version and another day compacted under it."""
+    tables = _compacted(spark, sf_dir)
+    compaction.promote_schema(spark, tables, "events")
+    later = DAY + timedelta(days=1)
+    write_journals(spark, sf_dir, tables.journals, later)
+    compaction.compact_day(spark, tables, "events", later, F.lit(later).cast("timestamp"))
+    return _stored_events(spark, tables)
+
+
+def reprocess_day(spark, sf_dir):
+    """Late journals complete a stored day, and the day is then compacted once more from the archive."""
+    tables = Tables(work_dir(spark, "late"))
+    compaction.save_registry(spark, tables, "events", events(spark, sf_dir).schema)
+    for part in (0, 1):
+        write_journals(spark, sf_dir, tables.journals, part=part)
+        compaction.compact_day(spark, tables, "events", DAY, F.lit(DAY).cast("timestamp"))
+    compaction.compact_day(spark, tables, "events", DAY, F.lit(DAY).cast("timestamp"), reprocess=True)
+    return _stored_events(spark, tables)
+
+
+def compact_nested_types(spark, sf_dir):
+    """Columns of dates, lists and structs keep their types through journals and compaction."""
+    tables = Tables(work_dir(spark, "nested"))
+    source = _orders(spark, sf_dir).select(
+        F.format_string("%03d_0", C("o_orderkey") % JOURNALS).alias("journal"), "o_orderkey",
+        C("ts").cast("date").alias("ordered"), F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+        F.struct(C("o_custkey").alias("cust"), C("o_totalprice").alias("price")).alias("detail"))
+    folder = day_folder(tables.journals, "orders", DAY)
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        filesystem, inner = open_folder(folder)
+        filesystem.create_dir(inner, recursive=True)
+        held = list(batches)
+        rows = pa.Table.from_batches(held) if held else pa.table({"journal": pa.array([], pa.string())})
+        for name in pc.unique(rows["journal"]).to_pylist():
+            part = rows.filter(pc.equal(rows["journal"], name)).drop_columns(["journal"])
+            with filesystem.open_output_stream(f"{inner}/journal_{name}.ipc") as sink, pa.ipc.new_stream(sink, part.schema) as out:
+                out.write_table(part)
+        yield pa.RecordBatch.from_pydict({"files": pa.array([rows.num_rows], pa.int64())})
+
+    source.repartition(JOURNALS, "journal").mapInArrow(write, "files bigint").write.format("noop").mode("overwrite").save()
+    compaction.compact_day(spark, tables, "orders", DAY, F.lit(DAY).cast("timestamp"))
+    return files.dataset(spark, tables.dataset("orders")).select(
+        "o_orderkey", F.date_format("ordered", "yyyy-MM-dd").alias("ordered"), F.array_join("tags", "|").alias("tags"),
+        C("detail.cust").alias("cust"), C("detail.price").alias("price"))
+
+
+def compaction_report(spark, sf_dir):
+    """Runs of a day with drift and a day without any, with the flags of what is stored."""
+    tables = _compacted(spark, sf_dir)
+    plain, empty = DAY + timedelta(days=1), DAY + timedelta(days=2)
+    write_journals(spark, sf_dir, tables.journals, plain, drifted=False)
+    for day in (plain, empty):
+        compaction.compact_day(spark, tables, "events", day, F.lit(day).cast("timestamp"))
+    runs = spark.read.parquet(tables.runs)
+    flags = compaction.stored_drift(runs, spark.read.parquet(tables.drift_events))
+    return compaction.runs_with_drift(runs, flags).select("date", "status", "rows_written", "drift")
 
 
 QUERIES = {
@@ -185,6 +257,10 @@ QUERIES = {
     "journal_schemas": journal_schemas,
     "compaction_run": compaction_run,
     "compacted_rows": compacted_rows,
+    "compact_after_promote": compact_after_promote,
+    "compact_nested_types": compact_nested_types,
+    "compaction_report": compaction_report,
+    "reprocess_day": reprocess_day,
 }
 
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'P' THEN 'partial' ELSE 'success' END"
@@ -192,13 +268,24 @@ _LAST = "(SELECT max(o_orderdate)::DATE FROM orders)"
 _DAY = ("strftime((ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/Chicago') - INTERVAL 3 HOUR,"
         " '%Y-%m-%d')")
 
+
+
+def _stored(day):
+    return f"""SELECT {day} AS date, event_id, user_id, epoch_us(ts) AS us, event_type,
+        CASE WHEN user_id % {JOURNALS} % 2 = 0 OR event_type <> 'error' THEN value END AS value,
+        CASE WHEN user_id % {JOURNALS} % 2 = 1 AND event_type = 'error' THEN 'n/a' END AS rescued
+        FROM events WHERE user_id % {JOURNALS} <> 7"""
+
+
+_FILE = f"printf('%03d_%d', user_id % {JOURNALS}, epoch_us(ts) // {SLICE_DAYS * 86_400_000_000})"
+
 ORACLE = {
     "run_summary": f"""SELECT count(DISTINCT o_orderdate) AS days, count(*) AS runs,
         count(*) FILTER (o_orderstatus = 'F') AS failures FROM orders
         WHERE o_orderdate::DATE >= {_LAST} - {WINDOW_DAYS}""",
     "runs_with_drift": f"""WITH flags AS (SELECT o_orderpriority, o_orderdate,
         CASE WHEN max(o_totalprice) > 300000 THEN 'DRIFT' ELSE 'OK' END AS drift
-        FROM orders WHERE o_orderkey % 10 = 0 GROUP BY 1, 2)
+        FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2)
         SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderpriority AS daemon,
         {_STATUS} AS status, o_orderkey, coalesce(drift, '?') AS drift
         FROM orders LEFT JOIN flags USING (o_orderpriority, o_orderdate)""",
@@ -212,21 +299,26 @@ ORACLE = {
         CASE WHEN user_id % {JOURNALS} % 2 = 0 OR event_type <> 'error' THEN value END AS value,
         CASE WHEN user_id % {JOURNALS} % 2 = 1 AND event_type = 'error' THEN 'n/a' END AS rescued,
         epoch_us(ts) AS us FROM events WHERE user_id % {JOURNALS} <> 7""",
-    "journal_status": f"""SELECT printf('journal_%03d.ipc', user_id % {JOURNALS}) AS file,
+    "journal_status": f"""SELECT printf('journal_%s.ipc', {_FILE}) AS file,
         CASE user_id % {JOURNALS} WHEN 6 THEN 'repaired' WHEN 7 THEN 'skipped' ELSE 'clean' END
         AS status, count(*) FILTER (user_id % {JOURNALS} <> 7) AS rows FROM events GROUP BY 1, 2
         UNION ALL SELECT 'journal_empty.ipc', 'skipped', 0""",
     "journal_schemas": f"""SELECT CASE WHEN user_id % {JOURNALS} % 2 = 1 THEN 'string' ELSE 'double'
-        END AS type, count(DISTINCT user_id % {JOURNALS}) AS files FROM events
+        END AS type, count(DISTINCT {_FILE}) AS files FROM events
         WHERE user_id % {JOURNALS} <> 7 GROUP BY 1""",
     "compaction_run": f"""SELECT '{DAY}' AS date, 'success' AS status,
-        count(DISTINCT user_id % {JOURNALS}) + 1 AS journals_found,
-        count(DISTINCT user_id % {JOURNALS}) FILTER (user_id % {JOURNALS} = 6) AS journals_repaired,
-        count(DISTINCT user_id % {JOURNALS}) FILTER (user_id % {JOURNALS} = 7) + 1 AS journals_skipped,
+        count(DISTINCT {_FILE}) + 1 AS journals_found,
+        count(DISTINCT {_FILE}) FILTER (user_id % {JOURNALS} = 6) AS journals_repaired,
+        count(DISTINCT {_FILE}) FILTER (user_id % {JOURNALS} = 7) + 1 AS journals_skipped,
         count(*) FILTER (user_id % {JOURNALS} <> 7) AS rows_written, 'value' AS drifted,
-        count(DISTINCT user_id % {JOURNALS}) + 1 AS archived FROM events""",
-    "compacted_rows": f"""SELECT '{DAY}' AS date, event_type, count(*) AS records,
-        count(*) FILTER (user_id % {JOURNALS} % 2 = 0 OR event_type <> 'error') AS with_value,
-        count(*) FILTER (user_id % {JOURNALS} % 2 = 1 AND event_type = 'error') AS rescued
-        FROM events WHERE user_id % {JOURNALS} <> 7 GROUP BY 2""",
+        count(DISTINCT {_FILE}) + 1 AS archived FROM events""",
+    "compacted_rows": _stored(f"'{DAY}'"),
+    "compact_after_promote": f"""{_stored(f"'{DAY}'")} UNION ALL {_stored(f"'{DAY + timedelta(days=1)}'")}""",
+    "reprocess_day": _stored(f"'{DAY}'"),
+    "compact_nested_types": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS ordered,
+        o_orderstatus || '|' || o_orderpriority AS tags, o_custkey AS cust, o_totalprice AS price FROM orders""",
+    "compaction_report": f"""SELECT '{DAY}' AS date, 'success' AS status,
+        count(*) FILTER (user_id % {JOURNALS} <> 7) AS rows_written, 'DRIFT' AS drift FROM events
+        UNION ALL SELECT '{DAY + timedelta(days=1)}', 'success', count(*) FILTER (user_id % {JOURNALS} <> 7), 'OK' FROM events
+        UNION ALL SELECT '{DAY + timedelta(days=2)}', 'partial', 0, '?'""",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import epoch_seconds, next_local_midnight, service_date
 from headway.operators.gaps import (
-    daily_gap_summary, detect_gaps, gap_report, gap_summary,
+    daily_gap_summary, detect_gaps, gap_report, recent_polls, gap_summary,
 )
 from headway.operators.ordered import newest_per_key, with_running_sum
 from workload.tables import events, newest, polls
@@ -34,20 +34,23 @@ def gap_by_dataset(spark, sf_dir):
     return gap_summary(gaps, ["dataset"])
 
 
+def _recent_gaps(spark, sf_dir, days):
+    source = polls(spark, sf_dir)
+    as_of = newest(source, "poll_ts")
+    window = recent_polls(source, "poll_ts", ["dataset"], as_of - F.make_dt_interval(days=F.lit(days)))
+    return gap_report(detect_gaps(window, "poll_ts", ["dataset"], INTERVAL_S), days, as_of)
+
+
 def missing_data_report(spark, sf_dir, days: int = 7):
     """Where data is missing, for how long and why: the last days, worst first."""
-    source = polls(spark, sf_dir)
-    gaps = detect_gaps(source, "poll_ts", ["dataset"], INTERVAL_S)
-    recent = gap_report(gaps, days, newest(source, "poll_ts")).withColumn(
+    recent = _recent_gaps(spark, sf_dir, days).withColumn(
         "service_day", service_date(F.col("poll_ts")).cast("string"))
     return gap_summary(recent, ["service_day", "gap_reason"]).orderBy(
         F.desc("service_day"), "gap_reason")
 
 
 def report_window(spark, sf_dir):
-    source = polls(spark, sf_dir)
-    gaps = detect_gaps(source, "poll_ts", ["dataset"], INTERVAL_S)
-    return _shown(gap_report(gaps, 5, newest(source, "poll_ts")))
+    return _shown(_recent_gaps(spark, sf_dir, 5))
 
 
 def restart_gap(spark, sf_dir):

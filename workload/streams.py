@@ -8,7 +8,7 @@ from headway.functions import epoch_seconds, to_instant
 from headway.session import configure, work_dir
 from headway.streaming import polls as poll_stream
 from headway.streaming.stateful import alerts_to_send_stream, detect_gaps_stream
-from headway.streaming.telemetry import append_events, windowed_metrics
+from headway.streaming.telemetry import append_events, newest_windows, upsert_windows, windowed_metrics
 from workload import gaps as gap_queries
 from workload import health, payloads
 from workload.tables import table
@@ -48,20 +48,22 @@ def cooldown_stream(spark, sf_dir):
 
 
 def windowed_stream(spark, sf_dir):
-    """Windows that the watermark has closed; sketched percentiles are left out."""
+    """Every window as last logged, with its sketched percentiles."""
     spans = _events(spark, sf_dir).select(
         (C("user_id") % 3).alias("daemon"), C("event_type").alias("span"), "ts",
         (C("event_type") != "error").alias("ok"), C("value").alias("elapsed_ms"))
-    metrics = _taken(spark, windowed_metrics(spans))
-    return metrics.select("daemon", "span", epoch_seconds(C("window_start")).alias("window_start"),
-                          "total_calls", "success_rate")
+    metrics = windowed_metrics(spans)
+    out = work_dir(spark, "windows")
+    upsert_windows(metrics, f"{out}/log", f"{out}/checkpoint").awaitTermination()
+    log = spark.read.schema(f"{_ddl(metrics)}, batch long").parquet(f"{out}/log")
+    return newest_windows(log).select(
+        "daemon", "span", epoch_seconds(C("window_start")).alias("window_start"), "total_calls", "success_rate",
+        "p50_ms", "p95_ms", "p99_ms")
 
 
 def position_stream(spark, sf_dir):
-    """Polls normalised on the fly and stored by their own service day (one month of them)."""
-    seconds = F.lit(1704067200) + (C("l_orderkey") * 977 + C("l_linenumber") * 31) % 2592000
-    raw = payloads.snapshots_of(_stream(spark, sf_dir, "lineitem").withColumn(
-        "l_shipdate", F.timestamp_seconds(seconds)))
+    """Polls normalised on the fly and stored by their own service day."""
+    raw = payloads.snapshots_of(_stream(spark, sf_dir, "lineitem"))
     out = work_dir(spark, "positions")
     good, _ = poll_stream.positions(raw)
     poll_stream.append(good, "poll_timestamp", f"{out}/rows", f"{out}/checkpoint",
@@ -83,23 +85,19 @@ QUERIES = {
     "position_stream": position_stream,
 }
 
-_MONTH_SNAPSHOTS = payloads._SNAPSHOTS.replace("FROM lineitem)", """FROM (SELECT * REPLACE (
-    make_timestamp((1704067200 + (l_orderkey * 977 + l_linenumber * 31) % 2592000) * 1000000)
-    AS l_shipdate) FROM lineitem))""")
-
 ORACLE = {
     "gap_stream": f"""WITH {gap_queries._gaps()} SELECT {gap_queries._COLUMNS} FROM gaps
         WHERE is_gap""",
     "cooldown_stream": health.ORACLE["alert_cooldown"],
     "windowed_stream": """WITH slots AS (SELECT user_id % 3 AS daemon, event_type AS span,
-            event_type <> 'error' AS ok, ts,
+            event_type <> 'error' AS ok, ts, value,
             time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * i) AS start
             FROM events, range(12) r(i))
         SELECT daemon, span, epoch_us(start) / 1e6 AS window_start, count(*) AS total_calls,
-        count(*) FILTER (ok) / count(*) AS success_rate FROM slots
-        WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+        count(*) FILTER (ok) / count(*) AS success_rate, quantile_disc(value, 0.5) AS p50_ms,
+        quantile_disc(value, 0.95) AS p95_ms, quantile_disc(value, 0.99) AS p99_ms FROM slots
         GROUP BY 1, 2, 3""",
-    "position_stream": f"""WITH {_MONTH_SNAPSHOTS}, days AS (SELECT is_delayed,
+    "position_stream": f"""WITH {payloads._SNAPSHOTS}, days AS (SELECT is_delayed,
             (l_shipdate AT TIME ZONE 'UTC' AT TIME ZONE 'America/Chicago') - INTERVAL 3 HOUR AS d
             FROM judged WHERE reason IS NULL)
         SELECT strftime(d, '%Y') AS year, strftime(d, '%m') AS month, strftime(d, '%d') AS day,

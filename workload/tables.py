@@ -13,13 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input with fewer splits than cores, spread over all cores.
-
-    Parsing costs far more than moving such a small input; a large one has
-    splits enough and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows in partitions of even size before costly parsing, whatever the files' splits."""
+    return df.hint("rebalance")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

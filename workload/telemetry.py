@@ -66,14 +66,14 @@ def error_types(spark, sf_dir):
 
 def error_categories(spark, sf_dir):
     source = events(spark, sf_dir).withColumn("pick", F.col("event_id") % 7)
-    kinds = ["VehicleTrackerAPIError", "ConfigurationError", "APIResponseError", "ValueError",
+    kinds = ["BodyCodeError", "ConfigurationError", "APIResponseError", "ValueError",
              "HTTPStatusError", "ReadTimeout", "KeyError"]
     kind = F.get(F.array(*map(F.lit, kinds)), F.col("pick").cast("int"))
     message = F.when(F.col("event_type") == "view", "Key is MISSING").otherwise(F.col("props"))
     status = (F.lit(400) + F.floor("value")).cast("int")
     code = F.when(F.col("event_type") == "click", "102").when(
         F.col("event_type") == "error", "106").when(F.col("event_type") == "signup", "0")
-    return source.select("event_id", error_category(kind, message, status, code).alias("category"))
+    return source.select("event_id", error_category(kind, message, status, code, ("BodyCodeError",)).alias("category"))
 
 
 def latest_event(spark, sf_dir):
