@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from headway.llm.repeats import (EDGE, RUNS, _combined, matched_runs, ranges_of, windows_matched, with_spans, word_anchors)
 from headway.llm.vectors import covered, joined, mix, range_hashes, runs, slices, word_hashes, words
 
+#: Words of the grams that anchors are chosen from, for windows of three times as many at least.
 GRAM = 12
 
 
@@ -91,7 +92,7 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     null ids; texts that differ under one id share their removed places.  Texts of fewer
     than ``window`` words stay whole (but for white space).  Further columns are ignored.
     """
-    matched = matched_runs(docs, word_anchors(window, GRAM))
+    matched = matched_runs(docs, word_anchors(window, min(GRAM, max(1, window // 3))))
     edges = with_spans(docs, matched.filter(F.col("kind") == EDGE)).filter("starts is not null")
     compared = windows_matched(edges.mapInArrow(_boundary_windows(window), RUNS))
     spans = matched.filter(F.col("kind") != EDGE).union(compared).select("doc_id", "start", "size")

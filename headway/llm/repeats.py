@@ -37,6 +37,9 @@ def word_anchors(window: int, gram: int) -> Callable:
 
 
 def byte_anchors(window: int) -> Callable:
+    if window < 33:
+        raise ValueError(f"a window of {window} bytes is shorter than an anchor's 32")
+
     def of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, Iterator]:
         return offsets, anchors(raw, byte_grams, 32, window, offsets, lambda x: BYTE_HASH[x])
     return of
