@@ -219,3 +219,42 @@ def test_pages_and_raw_payloads(spark, tmp_path):
     (tmp_path / "p2.json").write_text("[]")
     pages = files.raw_payloads(spark, str(tmp_path), multi_line=True)
     assert sorted(r.payload for r in files.list_rows(pages).collect()) == ['{"a":1}', '{"a":2}']
+
+
+def test_a_failed_publish_leaves_the_day(spark, tmp_path):
+    root = str(tmp_path / "data")
+    store.publish_day(spark.range(5), root, "2026-02-17")
+    with pytest.raises(RuntimeError, match="row count mismatch"):
+        store.publish_day(spark.range(9), root, "2026-02-17", expected=10)
+    broken = spark.range(9).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        store.publish_day(broken, root, "2026-02-17")
+    assert store.stored_rows(spark, root, "2026-02-17") == 5
+    assert store.publish_day(spark.range(7), root, "2026-02-17", expected=7) == (7, 5)
+    assert [p.name for p in (tmp_path / "data").iterdir()] == ["date=2026-02-17"]
+
+
+def test_a_day_after_promotion_and_nested_types(spark, tmp_path):
+    tables = Tables(str(tmp_path))
+    batch = pa.record_batch({"d": pa.array([dt.date(2026, 1, 2), None]), "l": pa.array([["a"], []]),
+                             "s": pa.array([{"x": 1}, None]), "n": pa.array([1, 2])})
+    for i, day in enumerate((DAY, DAY + dt.timedelta(days=1))):
+        folder = day_folder(tables.journals, "readings", day)
+        tmp_path.joinpath(folder).mkdir(parents=True)
+        with open(f"{folder}/journal_a.ipc", "wb") as f:
+            f.write(stream_bytes([batch]))
+        run = compaction.compact_day(spark, tables, "readings", day, now())
+        assert (run["status"], run["error"]) == ("success", None)
+        assert compaction.promote_schema(spark, tables, "readings") == 2 + i
+    assert not store.exists(spark, tables.drift_events)
+    rows = spark.read.parquet(tables.dataset("readings"))
+    assert dict(rows.dtypes)["d"] == "date" and dict(rows.dtypes)["l"] == "array<string>"
+    assert rows.filter("n = 1 and d = date'2026-01-02' and l[0] = 'a' and s.x = 1").count() == 2
+    assert "_rescued" not in {r.name for r in compaction.load_registry(spark, tables, "readings").collect()}
+
+
+def test_bad_pages_are_rejected_with_a_reason(spark):
+    pages = spark.createDataFrame([('[{"a":1}]',), ('{"a":1}',), ("nope",), (None,), ("[]",)], "payload string")
+    rows, rejected = files.list_pages(pages)
+    assert [r.payload for r in rows.collect()] == ['{"a":1}']
+    assert sorted(r.reason for r in rejected.collect()) == ["empty page", "page is not JSON", "page is not a list"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from headway.operators import health, telemetry
 from headway.operators.cooldown import alerts_to_send
 from headway.operators.mapping import fresh, latest_mapping
-from headway.operators.percentiles import exact_percentiles, histogram
+from headway.operators.percentiles import approximate_percentiles, exact_percentiles, histogram
 
 NOW = dt.datetime(2026, 2, 17, 12, tzinfo=dt.UTC)
 
@@ -118,3 +118,21 @@ def test_mapping_log_and_ttl(spark):
     assert {r.station_id for r in fresh(current, 101, F.lit(NOW)).collect()} == {"a", "c"}
     assert {r.station_id for r in fresh(current, 100, F.lit(NOW)).collect()} == {"a"}
     assert fresh(current, None, F.lit(NOW)).count() == 2
+
+
+def test_sketches_count_repeated_values(spark):
+    df = spark.createDataFrame([("g", 1.0)] * 99 + [("g", 100.0)] + [("n", None)], "g string, x double")
+    got = approximate_percentiles(df, ["g"], "x", [50, 95, 100]).collect()
+    assert [tuple(r) for r in got] == [("g", 1.0, 1.0, 100.0)]
+
+
+def test_percentiles_of_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([("g", x) for x in (-inf, 0.0, 1.0, 2.0, inf)], "g string, x double")
+    got = exact_percentiles(histogram(df, ["g"], "x"), ["g"], "x", [0, 25, 50, 100]).first()
+    assert tuple(got) == ("g", -inf, 0.0, 1.0, inf)
+
+
+def test_mapping_without_a_tombstone_flag_stays(spark):
+    log = spark.createDataFrame([("a", 1, None, 1.0), ("b", 2, True, 1.0)], "k string, v int, deleted boolean, updated_at double")
+    assert [r.k for r in latest_mapping(log, ["k"]).collect()] == ["a"]
