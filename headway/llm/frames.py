@@ -1,4 +1,4 @@
-"""Small helpers around DataFrames: written intermediates, components, repartitioning."""
+"""Small helpers around DataFrames: written intermediates and connected components."""
 
 from __future__ import annotations
 
@@ -18,12 +18,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def spread_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle by keys into the session's number of partitions, kept apart by AQE's advisory size."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
-
-
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """The least node that each node of ``edges`` (u, v: long) can reach: (node, root).
 

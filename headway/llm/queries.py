@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from headway.llm import chat, decontaminate, lempel_ziv, line_templates, maxent, packing, rules, simhash, suffixes, web_pages
 from headway.llm.frames import documents, written
+from headway.llm.oracles import ORACLE  # noqa: F401  registered with the queries
 from headway.session import configure
 
 
@@ -80,4 +81,3 @@ def op9_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_maxent": op9_maxent, "op3_html": op3_html, "op7_chat": op7_chat, "op1_line_dedup": op1_line_dedup, "op6_quality": op6_quality, "op5_packing": op5_packing, "op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
-ORACLE: dict[str, str] = {"op1_line_dedup": line_templates.ORACLE}
