@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.session import work_dir
+from headway.session import configure, work_dir
+
+
+#: Bytes of one Arrow batch between Spark and Python: bounds memory for any length of text.
+BATCH_BYTES = 8 << 20
+
+
+def text_session(spark: SparkSession) -> SparkSession:
+    """The session's settings for long texts, besides the library's."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return configure(spark)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -5,27 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from headway.llm import chat, decontaminate, lempel_ziv, line_templates, maxent, packing, rules, simhash, suffixes, web_pages
-from headway.llm.frames import documents, written
+from headway.llm.frames import documents, text_session, written
 from headway.llm.oracles import ORACLE  # noqa: F401  registered with the queries
-from headway.session import configure
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(documents(configure(spark), sf_dir), shingle=3, distance=2)
+    return simhash.near_duplicates(documents(text_session(spark), sf_dir), shingle=3, distance=2)
 
 
 def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = lempel_ziv.without_repeats(documents(configure(spark), sf_dir), window=35)
+    kept = lempel_ziv.without_repeats(documents(text_session(spark), sf_dir), window=35)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "n_factors")
 
 
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = suffixes.without_later_repeats(documents(configure(spark), sf_dir), window=100)
+    kept = suffixes.without_later_repeats(documents(text_session(spark), sf_dir), window=100)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    benchmark = configure(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    benchmark = text_session(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.leaks(documents(spark, sf_dir), benchmark)
 
 
@@ -36,11 +35,11 @@ def tokenizer_path() -> str:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(configure(spark), sf_dir), tokenizer_path(), capacity=2048)
+    return packing.pack(documents(text_session(spark), sf_dir), tokenizer_path(), capacity=2048)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = text_session(spark).read.parquet(f"{sf_dir}/labels.parquet")
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     measures = written(rules.measured(docs).drop("text"), "measures")
     return rules.judged(measures, rules.learned(measures, labels)).select(
@@ -48,13 +47,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_templates.without_recurring_lines(documents(configure(spark), sf_dir).select("doc_id", "text"))
+    kept = line_templates.without_recurring_lines(documents(text_session(spark), sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the conversations as read back from the formatted windows."""
-    given = configure(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    given = text_session(spark).read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     planted = "</s>[INST] ok [/INST]"
     more = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -73,11 +72,11 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web_pages.extracted(configure(spark).read.parquet(f"{sf_dir}/pages.parquet"))
+    return web_pages.extracted(text_session(spark).read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op9_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maxent.scored(documents(configure(spark), sf_dir))
+    return maxent.scored(documents(text_session(spark), sf_dir))
 
 
 QUERIES = {"op9_maxent": op9_maxent, "op3_html": op3_html, "op7_chat": op7_chat, "op1_line_dedup": op1_line_dedup, "op6_quality": op6_quality, "op5_packing": op5_packing, "op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
