@@ -12,12 +12,13 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
-    BooleanType, LongType, StructField, StructType,
+    BooleanType, LongType, StringType, StructField, StructType,
 )
 
 from headway.operators.gaps import check_gap_parameters, gap_fields
 
 _LAST = StructType([StructField("us", LongType())])
+_LINK = StructType([StructField("us", LongType()), StructField("run", StringType()), StructField("quota_us", LongType())])
 
 
 class _LastInstant(StatefulProcessor):
@@ -40,16 +41,28 @@ class _LastInstant(StatefulProcessor):
 
 
 class PreviousPoll(_LastInstant):
-    """Emits every distinct new poll with the one before it; older ones are late."""
+    """Emits every distinct new poll with the one before it, both runs and the last quota error.
+
+    Rows are polls, or quota errors (``is_poll`` false), which sort before a poll at the
+    same instant.  Polls no newer than the last one are late and emit nothing.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("last", _LINK)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        last = self._get()
-        for us in sorted({r.us for r in rows}):
-            if last is None or us > last:
-                yield self._row(key, prev_us=last, us=us)
-                last = us
-        if last is not None:
-            self._last.update((last,))
+        last, run, quota = self._last.get() if self._last.exists() else (None, None, None)
+        marks: dict[tuple[int, bool], str | None] = {}
+        for r in rows:
+            at = (r.us, r.is_poll)
+            marks[at] = max(filter(None, (marks.get(at), r.run)), default=None)
+        for (us, is_poll), own in sorted(marks.items(), key=lambda m: m[0]):
+            if not is_poll:
+                quota = us if quota is None else max(quota, us)
+            elif last is None or us > last:
+                yield self._row(key, prev_us=last, us=us, prev_run=run, run=own, quota_us=quota)
+                last, run = us, own
+        self._last.update((last, run, quota))
 
 
 class Cooldown(_LastInstant):
@@ -78,16 +91,38 @@ def _keyed(stream: DataFrame, keys: Sequence[str], columns: list[StructField]) -
 
 
 def detect_gaps_stream(polls: DataFrame, ts: str, keys: Sequence[str], poll_interval_s: float,
-                       threshold_multiplier: float = 2.0, downtime_s: float = 600.0) -> DataFrame:
-    """Gap rows of a poll stream, equal to the batch operator's on ordered input."""
+                       threshold_multiplier: float = 2.0, downtime_s: float = 600.0,
+                       restart_reason: str = "duration", run_id: str | None = None,
+                       quota_errors: DataFrame | None = None) -> DataFrame:
+    """Gap rows of a poll stream, equal to the batch operator's on ordered input.
+
+    ``restart_reason``, ``run_id`` and ``quota_errors`` (a stream with the same keys and
+    ``ts``) are as in the batch operator.
+    """
     check_gap_parameters(poll_interval_s, threshold_multiplier)
+    if restart_reason not in ("duration", "downtime"):
+        raise ValueError("restart_reason must be 'duration' or 'downtime'")
+    if restart_reason == "downtime" and run_id is None:
+        raise ValueError("restart_reason='downtime' needs run_id")
     keys = list(keys)
-    schema = _keyed(polls, keys, [StructField("prev_us", LongType()),
-                                  StructField("us", LongType())])
-    linked = polls.select(*keys, F.unix_micros(ts).alias("us")).groupBy(*keys).transformWithState(
+    schema = _keyed(polls, keys, [
+        StructField("prev_us", LongType()), StructField("us", LongType()), StructField("prev_run", StringType()),
+        StructField("run", StringType()), StructField("quota_us", LongType())])
+    run = F.lit(None).cast("string") if run_id is None else F.col(run_id).cast("string")
+    marks = polls.select(*keys, F.unix_micros(ts).alias("us"), F.lit(True).alias("is_poll"), run.alias("run"))
+    if quota_errors is not None:
+        marks = marks.union(quota_errors.select(
+            *keys, F.unix_micros(ts).alias("us"), F.lit(False).alias("is_poll"), F.lit(None).cast("string").alias("run")))
+    linked = marks.groupBy(*keys).transformWithState(
         PreviousPoll(keys), schema, outputMode="Append", timeMode="None")
+    reason = None
+    if restart_reason == "downtime":
+        reason = F.when(~F.col("prev_run").eqNullSafe(F.col("run")), "downtime")
+    if quota_errors is not None:
+        quota = F.when(F.col("quota_us") > F.col("prev_us"), "daily_quota")
+        reason = quota if reason is None else F.coalesce(quota, reason)
     at = {"prev": F.timestamp_micros("prev_us"), "now": F.timestamp_micros("us")}
-    fields = gap_fields(at["prev"], at["now"], poll_interval_s, threshold_multiplier, downtime_s)
+    fields = gap_fields(at["prev"], at["now"], poll_interval_s, threshold_multiplier, downtime_s, reason)
     return linked.select(
         *keys, at["now"].alias(ts), *[c.alias(n) for n, c in fields.items()]).filter("is_gap")
 

@@ -69,7 +69,7 @@ def partition_roundtrip(spark, sf_dir):
 
 DAY = date(2024, 2, 1)
 JOURNALS = 16
-SLICE_DAYS = 10
+SLICE_DAYS = 15
 
 
 def write_journals(spark, sf_dir, root, day=DAY, part=None, drifted=True):

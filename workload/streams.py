@@ -40,6 +40,43 @@ def gap_stream(spark, sf_dir):
     return gaps.withColumn("poll_ts", epoch_seconds(C("poll_ts")))
 
 
+def _in_turns(spark, sf_dir, build, turns: int = 4):
+    """The events land in turns, by time; after each the stream takes what is new, from its saved state."""
+    configure(spark)
+    source = table(spark, sf_dir, "events").withColumn("ts", to_instant(C("ts")))
+    ends = source.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    us = F.unix_micros("ts")
+    lo, hi = (ends.select(F.unix_micros(c)).scalar() for c in ("lo", "hi"))
+    part = F.floor((us - lo) * turns / (hi - lo + 1))
+    out = work_dir(spark, "turns")
+    for turn in range(turns):
+        source.filter(part == turn).write.mode("append").parquet(f"{out}/landed")
+        stream = build(spark.readStream.schema(source.schema).parquet(f"{out}/landed"))
+        append_events(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows").withColumn("poll_ts", epoch_seconds(C("poll_ts")))
+
+
+def _polls(stream):
+    return stream.select(C("user_id").alias("dataset"), C("ts").alias("poll_ts"),
+                         F.date_format("ts", "yyyy-MM-dd").alias("run_id"), "event_type", "value")
+
+
+def restart_gap_stream(spark, sf_dir):
+    return _in_turns(spark, sf_dir, lambda s: detect_gaps_stream(
+        _polls(s), "poll_ts", ["dataset"], gap_queries.INTERVAL_S, restart_reason="downtime", run_id="run_id"))
+
+
+def quota_gap_stream(spark, sf_dir):
+    """Error events are failed polls: those above 50 hit the quota, none is stored."""
+    def build(stream):
+        polled = _polls(stream)
+        return detect_gaps_stream(
+            polled.filter("event_type <> 'error'"), "poll_ts", ["dataset"], gap_queries.INTERVAL_S,
+            quota_errors=polled.filter("event_type = 'error' AND value > 50"))
+
+    return _in_turns(spark, sf_dir, build)
+
+
 def cooldown_stream(spark, sf_dir):
     source = _events(spark, sf_dir).select(
         C("user_id").alias("key"), "ts", (C("event_type") == "error").alias("should_alert"))
@@ -83,11 +120,17 @@ QUERIES = {
     "cooldown_stream": cooldown_stream,
     "windowed_stream": windowed_stream,
     "position_stream": position_stream,
+    "quota_gap_stream": quota_gap_stream,
+    "restart_gap_stream": restart_gap_stream,
 }
 
 ORACLE = {
     "gap_stream": f"""WITH {gap_queries._gaps()} SELECT {gap_queries._COLUMNS} FROM gaps
         WHERE is_gap""",
+    "restart_gap_stream": f"""WITH {gap_queries._gaps(restart=True)} SELECT {gap_queries._COLUMNS} FROM gaps
+        WHERE is_gap""",
+    "quota_gap_stream": f"""WITH {gap_queries._gaps("(SELECT * FROM events WHERE event_type <> 'error')", quota=True)}
+        SELECT {gap_queries._COLUMNS} FROM gaps WHERE is_gap""",
     "cooldown_stream": health.ORACLE["alert_cooldown"],
     "windowed_stream": """WITH slots AS (SELECT user_id % 3 AS daemon, event_type AS span,
             event_type <> 'error' AS ok, ts, value,
