@@ -2,8 +2,11 @@
 
 Words become a template: numbers, units after numbers and names (capitalised words
 within a sentence) turn into typed placeholders, other words lose case and outer
-punctuation.  Windows of the benchmark's templates are looked up in all documents,
-and the concrete values behind the placeholders must map one to one.
+punctuation.  A capital that opens a text, line or sentence tells no name from another
+word, so there are two readings, with openers as words and as names.  Windows of the
+benchmark's templates are looked up in all documents, and the concrete values behind
+the placeholders must map one to one; windows with little but placeholders are looked
+up by their literal words.
 """
 
 from __future__ import annotations
@@ -37,6 +40,9 @@ _ENDS[[ord(c) for c in ".!?:\n"]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _NUMBER = re.compile(rb"[-+]?[$]?[0-9][0-9.,:/]*%?")
+_GLUED = re.compile(rb"([-+]?[$]?[0-9][0-9.,:/]*)([^0-9.,:/].*)", re.S)
+#: Readings of a window: openers as words, openers as names, all words as they are.
+WORDS_OPEN, NAMES_OPEN, LITERAL = range(3)
 
 
 def _typed(kind: int) -> np.uint64:
@@ -51,11 +57,25 @@ def _hash_of(word: bytes) -> np.uint64:
     return word_hashes(np.frombuffer(word, np.uint8), _ONE, np.array([len(word)]))[0]
 
 
+_UNIT_NAMES = frozenset(u.encode() for u in UNITS)
 _UNIT_HASHES = np.sort(np.array([_hash_of(u.encode()) for u in UNITS], np.uint64))
 
 
+def _maybe_numbers(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Words that begin like a number."""
+    if not len(begin):
+        return np.zeros(0, np.int64)
+    digit = (raw[begin] >= 48) & (raw[begin] <= 57)
+    lead = np.isin(raw[begin], [ord(c) for c in "$+-"]) & (end - begin > 1)
+    nextbyte = raw[np.minimum(begin + 1, len(raw) - 1)]
+    return np.flatnonzero(digit | (lead & (((nextbyte >= 48) & (nextbyte <= 57)) | (nextbyte == 36))))
+
+
 def templates(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: template hash, is it a slot, hash of its concrete value; first word of each text; kind of slot."""
+    """Per word: template hash, is it a slot, hash of its concrete value; first word of each text; may it be a name that opens.
+
+    A number with a unit glued to it is two words.
+    """
     starts, ends, first = words(raw, offsets)
     n = len(starts)
     begin, end = starts.copy(), ends.copy()
@@ -69,14 +89,23 @@ def templates(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     # Upper case of two bytes (Latin-1 letters) to lower case.
     wide = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)) if len(raw) else np.empty(0, np.int64)
     low[wide + 1] += 0x20
+    maybe = _maybe_numbers(raw, begin, end)
+    glued = {}
+    for i in maybe.tolist():
+        told = _GLUED.fullmatch(raw[begin[i]:end[i]].tobytes())
+        if told and told[2].lower() in _UNIT_NAMES and not _NUMBER.fullmatch(told[0]):
+            glued[i] = begin[i] + len(told[1])
+    if glued:
+        at, cut = np.array(list(glued)), np.array(list(glued.values()))
+        starts, begin = (np.insert(x, at + 1, cut) for x in (starts, begin))
+        ends, end = (np.insert(x, at, cut) for x in (ends, end))
+        first = first + np.searchsorted(at, first)
+        n, maybe = len(starts), _maybe_numbers(raw, begin, end)
     value = word_hashes(low, begin, end)
     template = value.copy()
     if not n:
-        return template, np.zeros(0, bool), value, first, np.zeros(0, np.int64)
-    digit = (raw[begin] >= 48) & (raw[begin] <= 57)
-    lead = np.isin(raw[begin], [ord(c) for c in "$+-"]) & (end - begin > 1)
+        return template, np.zeros(0, bool), value, first, np.zeros(0, bool)
     nextbyte = raw[np.minimum(begin + 1, len(raw) - 1)]
-    maybe = np.flatnonzero(digit | (lead & (((nextbyte >= 48) & (nextbyte <= 57)) | (nextbyte == 36))))
     number = np.zeros(n, bool)
     for i in maybe.tolist():
         number[i] = _NUMBER.fullmatch(raw[begin[i]:end[i]].tobytes()) is not None
@@ -90,9 +119,21 @@ def templates(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     opens = np.ones(n, bool)
     opens[1:] = _ENDS[raw[ends[:-1] - 1]] | _ENDS[raw[ends[:-1]]] | _ENDS[raw[starts[1:] - 1]]
     opens[first[:-1][first[:-1] < n]] = True
-    name = capital & ~opens & (end - begin > 1) & ~number
+    capital &= (end - begin > 1) & ~number
+    name = capital & ~opens
     template[number], template[unit], template[name] = NUMBER, UNIT, NAME
-    return template, number | unit | name, value, first, np.where(number, 1, np.where(unit, 2, np.where(name, 3, 0)))
+    return template, number | unit | name, value, first, capital & opens & ~unit
+
+
+def readings(raw: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Word hashes and slots in each reading, hashes of the concrete values, first word of each text."""
+    template, slot, value, first, opener = templates(raw, offsets)
+    return [template, np.where(opener, NAME, template), value], [slot, slot | opener, np.zeros(len(slot), bool)], value, first
+
+
+def _reading_hashes(words: np.ndarray, size: int, reading: int) -> np.ndarray:
+    h = window_hashes(words, size)
+    return mix(h + np.uint64(reading)) if reading else h
 
 
 def _spread(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,50 +149,54 @@ def window_sums(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(hash, item_id, at, windows, values) of every template window of every item.
+    """(hash, size, item_id, at, reading, windows, total, values) of every window of every item, per reading.
 
     An item of fewer words than ``window`` is one window of all its words; ``size`` says how
-    many.  Windows of which more than half are slots say nothing and are left out.
+    many.  Of windows of which more than half are slots a template says nothing: they are
+    there by their literal words.  Openers are read as names where ``window`` / 2 words
+    are left.  ``windows`` counts the item's windows in this reading, ``total`` all of them.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, raw, offsets in slices(batch, "text"):
-                template, slot, value, first, _ = templates(raw, offsets)
+                read, slots, value, first = readings(raw, offsets)
                 out = []
                 for i, item in enumerate(rows.column("item_id").to_pylist()):
-                    t, v, s = (x[first[i]:first[i + 1]] for x in (template, value, slot))
-                    size = min(window, len(t))
+                    own = slice(first[i], first[i + 1])
+                    v, size = value[own], min(window, first[i + 1] - first[i])
                     if not size:
                         continue
-                    h = window_hashes(t, size).view(np.int64).tolist()
-                    known = window_sums(~s, size)
-                    told = [at for at in range(len(h)) if known[at] * 2 >= size]
-                    for at in told:
-                        x = h[at]
-                        concrete = np.where(s, v, np.uint64(0))[at:at + size].view(np.int64)
-                        out.append((x, size, item, at, len(told), concrete.tolist()))
+                    known = [window_sums(~x[own], size) for x in slots]
+                    plain = known[WORDS_OPEN] * 2 >= size
+                    for reading, told in ((WORDS_OPEN, plain), (NAMES_OPEN, known[NAMES_OPEN] * 2 >= window), (LITERAL, ~plain)):
+                        if not told.any():
+                            continue
+                        h = _reading_hashes(read[reading][own], size, reading).view(np.int64).tolist()
+                        shown = np.where(slots[reading][own], v, np.uint64(0)).view(np.int64)
+                        for at in np.flatnonzero(told).tolist():
+                            out.append((h[at], size, item, at, reading, int(told.sum()), len(plain), shown[at:at + size].tolist()))
                 if out:
-                    yield pa.record_batch([pa.array(c) for c in zip(*out)], ["hash", "size", "item_id", "at", "windows", "values"])
+                    yield pa.record_batch([pa.array(c) for c in zip(*out)], ["hash", "size", "item_id", "at", "reading", "windows", "total", "values"])
 
     return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        run, "hash long, size long, item_id long, at long, windows long, values array<long>")
+        run, "hash long, size long, item_id long, at long, reading long, windows long, total long, values array<long>")
 
 
-def _hits(hashes: np.ndarray, sizes: list[int]):
-    """Windows of documents whose template is one of ``hashes`` (sorted)."""
+def _hits(hashes: np.ndarray, kinds: list[tuple[int, int]]):
+    """Windows of documents whose hash in a reading and size of ``kinds`` is one of ``hashes`` (sorted)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = np.zeros(1 << 16, bool)
         tail[(hashes.view(np.uint64) >> np.uint64(48)).astype(np.int64)] = True
         for batch in batches:
             for rows, raw, offsets in slices(batch, "text"):
                 ids = rows.column("doc_id")
-                template, slot, value, first, _ = templates(raw, offsets)
-                shown = np.where(slot, value, np.uint64(0))
-                for size in sizes:
+                read, slots, value, first = readings(raw, offsets)
+                for reading, size in kinds:
+                    shown = np.where(slots[reading], value, np.uint64(0))
                     text, at = _spread(first, size)
                     if not len(at):
                         continue
-                    h = window_hashes(template, size)[at]
+                    h = _reading_hashes(read[reading], size, reading)[at]
                     maybe = np.flatnonzero(tail[(h >> np.uint64(48)).astype(np.int64)])
                     h = h[maybe].view(np.int64)
                     place = np.searchsorted(hashes, h)
@@ -176,9 +221,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
 
     (doc_id, item_id, n_windows: matching windows of the item, share: of its windows,
     literal: no slot has another value).  A pair counts if, at one alignment (document
-    place minus item place), at least ``share`` of the item's template windows match and
-    the slots are consistent: each value of the item stands for one value of the document
-    and back.  An item shorter than ``window`` is one window; an item without words, or a
+    place minus item place) and in one reading, at least ``share`` of the item's template
+    windows match and the slots are consistent: each value of the item stands for one
+    value of the document and back.  Words that open a text, line or sentence with a
+    capital are words in one reading and names in another; in a third, windows of more
+    than half slots count too and match by their literal words.  An item shorter than ``window`` is one window; an item without words, or a
     null text, never matches.  Repeated rows of the benchmark or of the documents count
     once; null ids are kept as an id of their own.  Further columns are ignored.  The
     benchmark's windows are looked up in blocks of ``block`` windows, so that what tasks
@@ -191,22 +238,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
     parts = max(1, -(-total // block))
     hit = None
     for k in range(parts):
-        mine = asked.filter(F.pmod("hash", F.lit(parts)) == k).select("hash", "size").distinct().toArrow()
+        mine = asked.filter(F.pmod("hash", F.lit(parts)) == k).select("hash", "size", "reading").distinct().toArrow()
         if not mine.num_rows:
             continue
         hashes = np.unique(mine.column("hash").to_numpy())
-        sizes = sorted(set(mine.column("size").to_pylist()))
-        more = keyed.mapInArrow(_hits(hashes, sizes), HIT)
+        kinds = sorted(set(zip(mine.column("reading").to_pylist(), mine.column("size").to_pylist())))
+        more = keyed.mapInArrow(_hits(hashes, kinds), HIT)
         hit = more if hit is None else hit.union(more)
     if hit is None:
         return spark.createDataFrame([], "doc_id long, item_id long, n_windows long, share double, literal boolean")
     pairs = (hit.join(asked, ["hash", "size"])
              .withColumn("shift", F.col("place") - F.col("at"))
              .withColumn("slots", F.filter(F.arrays_zip(F.col("values").alias("item"), F.col("shown").alias("doc")), lambda s: s["item"] != 0)))
+    # What each way to read an alignment counts: windows, out of how many, and their slots.
+    ways = []
+    for name, of, out_of in (("words", [WORDS_OPEN], "windows"), ("names", [NAMES_OPEN], "windows"), ("all", [WORDS_OPEN, LITERAL], "total")):
+        here = F.col("reading").isin(of)
+        ways.append((F.collect_set(F.when(here, F.col("at"))).alias(f"{name}_at"), F.max(F.when(here, F.col(out_of))).alias(f"{name}_of"),
+                     F.collect_set(F.when(here, F.col("slots"))).alias(f"{name}_slots")))
+    read = F.array(*(F.struct(F.size(f"{n}_at").cast("long").alias("n_windows"), F.col(f"{n}_of").alias("windows"),
+                              F.array_distinct(F.flatten(f"{n}_slots")).alias("slots")) for n in ("words", "names", "all")))
     # Consistency: at one alignment, as many distinct pairs as item values and as document values.
-    return (pairs.groupBy("doc_id", "item_id", "shift")
-            .agg(F.count_distinct("at").alias("n_windows"), F.max("windows").alias("windows"),
-                 F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    return (pairs.groupBy("doc_id", "item_id", "shift").agg(*(c for way in ways for c in way))
+            .select("doc_id", "item_id", F.explode(read).alias("read")).select("doc_id", "item_id", "read.*")
             .filter(F.col("n_windows") >= F.col("windows") * F.lit(share))
             .filter((F.size(F.array_distinct("slots.item")) == F.size("slots")) & (F.size(F.array_distinct("slots.doc")) == F.size("slots")))
             .withColumn("literal", F.forall("slots", lambda s: s["item"] == s["doc"]))
