@@ -33,6 +33,10 @@ replies respond cookie cookies consent gdpr notice notices alert popup modal ove
 share sharing social related recommended pagination pager copyright""".split())
 #: Elements that keep their content whatever their class says, unless it says comment.
 ROOTS = frozenset("html body main article".split())
+#: Elements that never are the region; nor is one without elements in it.
+LEAVES = frozenset("p pre li dt dd td th tr h1 h2 h3 h4 h5 h6 caption figcaption legend summary option".split())
+#: Part of the content lines' text that the region holds where no article or main tells it.
+BULK = 0.9
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements that a new one of the same kind ends, in which of their parents.
@@ -91,6 +95,12 @@ class Lines(HTMLParser):
         else:
             self.tags += 1
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # an unknown declaration is a comment, and the page goes on
+            return self.parse_bogus_comment(i, report)
+
     def _skips(self, tag: str, attrs) -> bool:
         if tag in SKIPPED:
             return True
@@ -170,7 +180,8 @@ def main_text(html: str | None) -> str:
     ratios = np.array([len(text) / max(tags, 1) for text, tags, _ in page.lines])
     smooth = smoothed(ratios)
     content = smooth >= threshold(smooth)
-    # Text of the content lines in every element; the deepest with the bulk is the region.
+    # Text of the content lines in every element.  An article or main around most of it is
+    # the region; else the deepest element with the bulk, but no leaf.
     weight = np.zeros(len(page.names))
     for (text, _, element), good in zip(page.lines, content):
         if good:
@@ -178,8 +189,9 @@ def main_text(html: str | None) -> str:
     total = weight.sum()
     for k in range(len(weight) - 1, 0, -1):
         weight[page.parents[k]] += weight[k]
-    region = max(k for k in range(len(weight)) if weight[k] * 2 > total or k == 0)
-    at = region
+    inner = set(page.parents[1:])
+    region = max(k for k in range(len(weight)) if k == 0 or (weight[k] >= BULK * total and k in inner and page.names[k] not in LEAVES))
+    at = max(k for k in range(len(weight)) if weight[k] * 2 > total or k == 0)
     while at:  # a part of an article stands for the whole of it
         if page.names[at] in ("article", "main"):
             region = at
