@@ -85,8 +85,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _whole(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT)"
+
+
+#: Products of lists are doubles, exact for whole numbers of this size.
+NEGATIVES = f"""
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_whole(256)}::DOUBLE[] AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_FINITE}),
+scored AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label, list_inner_product(a.v, b.v)::BIGINT AS score
+           FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, own, id AS positive_id, score AS positive_score FROM scored WHERE label = own
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM (SELECT p.*, s.id, s.score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM positives p JOIN scored s USING (anchor_id)
+      WHERE s.label <> p.own AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+WHERE rank <= 10
+"""
+
+
+def _rounds(rounds: int) -> str:
+    """Assignments a0, a1 ... by the centroids c0, c1 ... of each round."""
+    steps = ["""c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM e
+             QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), v) <= 16)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (SELECT row, vec_id, e.v, c, (list_inner_product(e.v, e.v) + list_inner_product(k.v, k.v)
+                      - 2 * list_inner_product(e.v, k.v))::BIGINT AS d FROM e, c{r} k
+                QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS (SELECT k.c, coalesce(m.v, k.v) AS v FROM c{r} k LEFT JOIN (
+                  SELECT c, list(x ORDER BY i) AS v FROM (SELECT c, i, floor(sum(x) / count(*)) AS x FROM (
+                      SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i) GROUP BY c) m USING (c))""")
+    return ",\n".join(steps)
+
+
+CENTROIDS = f"""
+WITH e AS (SELECT row_number() OVER () AS row, vec_id, {_whole(64)}::DOUBLE[] AS v FROM embeddings WHERE {_FINITE} AND len(embedding) = 64),
+{_rounds(3)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(k.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a3 JOIN c3 k USING (c)
+"""
+
 ORACLE = {
     "op1_line_dedup": line_templates.ORACLE,
+    "op11_hard_negatives": NEGATIVES,
+    "op12_centroids": CENTROIDS,
     "op2_substring": SUBSTRING,
     "op6_quality": QUALITY,
     "op8_suffix_array": SUFFIXES,
