@@ -131,7 +131,25 @@ SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY
 FROM a3 JOIN c3 k USING (c)
 """
 
+JACCARD = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[ \t-\r]+'), lambda t: t <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(
+             generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS s FROM docs),
+named AS (SELECT doc_id, len(s)::BIGINT AS n, md5(array_to_string(s, chr(10))) AS k, s FROM sets),
+classes AS (SELECT k, any_value(n) AS n, any_value(s) AS s, min(doc_id) AS least FROM named WHERE n > 0 GROUP BY k),
+postings AS (SELECT k, n, unnest(s) AS x FROM classes),
+links AS (SELECT a.k AS a, b.k AS b FROM postings a JOIN postings b ON a.x = b.x AND a.k <> b.k
+          GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT k, k AS r FROM classes UNION SELECT reach.k, links.b FROM reach JOIN links ON reach.r = links.a),
+roots AS (SELECT reach.k, min(least) AS component_id FROM reach JOIN classes ON classes.k = reach.r GROUP BY reach.k)
+SELECT doc_id, n AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE component_id END AS component_id
+FROM named LEFT JOIN roots USING (k)
+"""
+
 ORACLE = {
+    "op13_jaccard_join": JACCARD,
     "op1_line_dedup": line_templates.ORACLE,
     "op11_hard_negatives": NEGATIVES,
     "op12_centroids": CENTROIDS,

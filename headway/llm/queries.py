@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from headway.llm import centroids, chat, decontaminate, hard_negatives, lempel_ziv, line_templates, maxent, packing, rules, simhash, suffixes, web_pages
+from headway.llm import centroids, chat, decontaminate, hard_negatives, jaccard_join, lempel_ziv, line_templates, maxent, packing, rules, simhash, suffixes, web_pages
 from headway.llm.frames import documents, text_session, written
 from headway.llm.oracles import ORACLE  # noqa: F401  registered with the queries
 
@@ -89,4 +89,8 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(text_session(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {"op12_centroids": op12_centroids, "op11_hard_negatives": op11_hard_negatives, "op9_maxent": op9_maxent, "op3_html": op3_html, "op7_chat": op7_chat, "op1_line_dedup": op1_line_dedup, "op6_quality": op6_quality, "op5_packing": op5_packing, "op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(documents(text_session(spark), sf_dir), shingle=4, similarity=85)
+
+
+QUERIES = {"op13_jaccard_join": op13_jaccard_join, "op12_centroids": op12_centroids, "op11_hard_negatives": op11_hard_negatives, "op9_maxent": op9_maxent, "op3_html": op3_html, "op7_chat": op7_chat, "op1_line_dedup": op1_line_dedup, "op6_quality": op6_quality, "op5_packing": op5_packing, "op10_decontaminate": op10_decontaminate, "op8_suffix_array": op8_suffix_array, "op2_substring": op2_substring, "op4_simhash": op4_simhash}
