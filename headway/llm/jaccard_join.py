@@ -1,18 +1,19 @@
 """Similarity join of documents on word shingles by T-occurrence search (DivideSkip).
 
 Two sets x, y have a Jaccard similarity of s or more only if they share at least
-T = s * |x| elements, so any |x| - T + 1 elements of x hold one of y if both are taken in
-one global order.  The order puts rare shingles first, by a bounded sketch of how often
-shingles occur; whatever the sketch says, no pair is lost.  Texts that share such a
-shingle, also over others, are a loose group, and only its sets are searched: in blocks
-of bounded size, a query merges the short inverted lists of its shingles, which leaves
-texts that occur often enough to reach T even if all long lists had them, and looks
-these up in the long lists by binary probes.  Equal sets are one node throughout.
+T = s * |x| elements.  So a set with |x| - T + 1 elements that no other set has links with
+nothing; a fixed share of all possible shingles, picked by their hash, is counted over
+all documents and settles that for most of them.  The others' sets are counted whole.  Of
+any |x| - T + 1 elements of x one is in y, if both are taken in one global order, the
+rarest first; sets that share such an element, also over others, are a loose group, and
+only its sets are searched: in blocks of bounded size, a query merges the short inverted
+lists of its shingles, which leaves sets that occur often enough to reach T even if all
+long lists had them, and looks these up in the long lists by binary probes.  Equal sets
+are one node throughout.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,8 @@ from headway.llm.vectors import mix, slices, window_hashes, word_hashes, words
 #: Bytes with A-Z in lower case.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-#: Cells of the sketch (2 to this power) and the parts in which they are added up.
-CELL_BITS, CHUNKS = 20, 64
+#: Share of all possible shingles that is counted first, as a multiple of the share in which sets may differ.
+COUNTED = 4 / 3
 #: Sets and shingles of a block: bounds the memory of a search.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 20
 #: Sets of a group of several blocks that all its blocks share in the first round.
@@ -59,47 +60,12 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np
     return text[new], hashes[new]
 
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+_MEASURED = "doc_id long, body long, n long, node long, some array<long>"
 
 
-def _counted(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
-            for _, raw, offsets in slices(batch, "text"):
-                total += np.bincount(_cells(shingle_sets(raw, offsets, shingle)[1]), minlength=len(total))
-        yield _chunks(np.arange(CHUNKS), total.reshape(CHUNKS, -1))
-    return run
-
-
-def _chunks(which, rows) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(which, pa.int32()), pa.array([zlib.compress(r.tobytes(), 1) for r in rows], pa.binary())], ["chunk", "counts"])
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
-            part = np.frombuffer(zlib.decompress(counts.as_py()), np.int64)
-            total[chunk] = total[chunk] + part if chunk in total else part
-    yield _chunks(sorted(total), [total[c] for c in sorted(total)])
-
-
-def rarity(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Per cell of shingle hashes how often these occur, in quarter powers of two: a megabyte at any size."""
-    parts = docs.select("text").mapInArrow(_counted(shingle), "chunk int, counts binary")
-    added = parts.repartition(CHUNKS, "chunk").mapInArrow(_added, "chunk int, counts binary").collect()
-    counts = np.zeros((CHUNKS, (1 << CELL_BITS) // CHUNKS), np.int64)
-    for r in added:
-        counts[r.chunk] = np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
-    return np.floor(4 * np.log2(counts.ravel() + 1.0)).astype(np.uint8)
+def _measured(shingle: int, share: float):
+    most = np.uint64(min(int(share * 2 ** 64), 2 ** 64 - 1))
 
-
-_MEASURED = "doc_id long, body long, n long, node long, prefix array<long>"
-
-
-def _measured(shingle: int, similarity: int, ranks: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, raw, offsets in slices(batch, "text"):
@@ -109,24 +75,22 @@ def _measured(shingle: int, similarity: int, ranks: np.ndarray):
                 # A set's name: a sum that does not depend on the order.
                 added = np.concatenate(([np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(shingle)), dtype=np.uint64)))
                 node = mix((added[first + n] - added[first]) + n.astype(np.uint64))
-                by_rarity = hashes[np.lexsort((hashes, ranks[_cells(hashes)], text))]
-                place = np.arange(len(hashes)) - np.repeat(first, n)
-                taken = place < np.repeat(np.where(n > 0, n - least_overlap(n, similarity) + 1, 0), n)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(text[taken], minlength=rows.num_rows)))).astype(np.int32)
-                prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(by_rarity[taken].view(np.int64)))
-                yield pa.record_batch([rows.column("doc_id"), rows.column("body"), pa.array(n), pa.array(node.view(np.int64)), prefix],
-                                      ["doc_id", "body", "n", "node", "prefix"])
+                yield pa.record_batch([rows.column("doc_id"), rows.column("body"), pa.array(n), pa.array(node.view(np.int64)),
+                                       _lists(text, hashes, hashes < most, rows.num_rows)], ["doc_id", "body", "n", "node", "some"])
     return run
 
 
-def _sets(shingle: int):
+def _lists(text: np.ndarray, hashes: np.ndarray, taken: np.ndarray, rows: int) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(np.bincount(text[taken], minlength=rows)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[taken].view(np.int64)))
+
+
+def _postings(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, raw, offsets in slices(batch, "text"):
                 text, hashes = shingle_sets(raw, offsets, shingle)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=rows.num_rows)))).astype(np.int32)
-                yield pa.record_batch([rows.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))],
-                                      ["node", "shingles"])
+                yield pa.record_batch([pa.array(hashes.view(np.int64)), rows.column("node").take(pa.array(text))], ["shingle", "node"])
     return run
 
 
@@ -176,32 +140,42 @@ class InvertedLists:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each shard; input is sorted by shard."""
+    """The rows of each shard, one per node; input is sorted by shard and node."""
     held: list[pa.RecordBatch] = []
+    at = last = None
     for batch in batches:
-        shard = batch.column("shard").to_numpy()
+        shard, node = (batch.column(c).to_numpy() for c in ("shard", "node"))
         cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
         for lo, hi in zip(cuts, cuts[1:]):
             if lo == hi:
                 continue
-            if held and held[0].column("shard")[0].as_py() != shard[lo]:
+            if held and at != shard[lo]:
                 yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(lo, hi - lo))
+                held, last = [], None
+            new = np.concatenate(([last is None or node[lo] != last], node[lo + 1:hi] != node[lo:hi - 1]))
+            held.append(batch.slice(lo, hi - lo).filter(pa.array(new)))
+            at, last = shard[lo], node[hi - 1]
     if held:
         yield pa.Table.from_batches(held)
 
 
-def _linked(similarity: int):
+def _linked(shingle: int, similarity: int):
     """Links of a shard between sets of different parts, as far as they join parts."""
+    def lists_of(shard: pa.Table) -> InvertedLists:
+        sizes, hashes = [], []
+        for batch in shard.select(["text"]).to_batches():
+            for rows, raw, offsets in slices(batch, "text"):
+                text, found = shingle_sets(raw, offsets, shingle)
+                sizes.append(np.bincount(text, minlength=rows.num_rows))
+                hashes.append(found)
+        return InvertedLists(np.concatenate(sizes), np.concatenate(hashes))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
             if shard.num_rows < 2:
                 continue
-            node, part = (shard.column(c).to_numpy() for c in ("node", "part"))
-            asks = shard.column("asks").to_numpy()
-            part, sets = part.copy(), shard.column("shingles").combine_chunks()
-            lists, found = InvertedLists(sets.value_lengths().to_numpy(), sets.flatten().to_numpy()), []
+            node, part, asks = (shard.column(c).to_numpy() for c in ("node", "part", "asks"))
+            part, lists, found = part.copy(), lists_of(shard), []
             for i in np.flatnonzero(asks).tolist():
                 apart = part != part[i]
                 if not apart.any():
@@ -216,18 +190,18 @@ def _linked(similarity: int):
     return run
 
 
-def _search(rows: DataFrame, sets: DataFrame, similarity: int, purpose: str) -> DataFrame:
-    """Links (u, v) within the shards of ``rows`` (shard, node, part, asks)."""
+def _search(rows: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """Links (u, v) within the shards of ``rows`` (shard, node, part, asks); ``texts``: (node, text)."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return written(rows.join(sets, "node").repartition(n, "shard").sortWithinPartitions("shard", "node")
-                   .mapInArrow(_linked(similarity), "u long, v long"), purpose)
+    return written(rows.join(texts, "node").repartition(n, "shard").sortWithinPartitions("shard", "node")
+                   .mapInArrow(_linked(shingle, similarity), "u long, v long"), "links")
 
 
 def _blocks(n, shingles):
     return F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
 
 
-def _links(loose: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _links(loose: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """Enough links to connect what the similarity connects; ``loose``: (node, loose, n).
 
     First every block of a loose group is searched by itself, together with some sets that
@@ -240,30 +214,30 @@ def _links(loose: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     several = dealt.filter("blocks > 1")
     heads = several.withColumn("r", F.row_number().over(Window.partitionBy("loose").orderBy("h", "node"))).filter(F.col("r") <= HEADS)
     own = F.pmod("h", "blocks").cast("int")
-    shared = heads.select("loose", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b")).filter("own <> b")
-    placed = dealt.select("loose", "node", own.alias("b")).union(shared.select("loose", "node", "b"))
-    first = _search(placed.select(F.xxhash64("loose", "b").alias("shard"), "node", F.col("node").alias("part"), F.lit(True).alias("asks")),
-                    sets, similarity, "links")
+    shared = heads.select("loose", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), "node").filter("own <> b")
+    placed = dealt.select("loose", own.alias("b"), "node").union(shared.select("loose", "b", "node"))
+    first = _search(placed.select(F.xxhash64("loose", "b").alias("shard"), F.col("node").alias("part"), F.lit(True).alias("asks"), "node"),
+                    texts, shingle, similarity)
     if several.isEmpty():
         return first
     known = (several.join(components(first).withColumnRenamed("root", "part"), "node", "left")
-             .select("node", "loose", "n", "h", F.coalesce("part", "node").alias("part")))
-    parts = known.groupBy("loose", "part").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
-    sizes = parts.groupBy("loose").agg(F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count("*").alias("parts"),
-                                       F.max(F.struct("n", "part", "shingles")).alias("big")).filter("parts > 1")
-    sizes = sizes.select("loose", F.col("big.part").alias("big"), _blocks(F.col("n"), F.col("shingles")).alias("all"),
-                         _blocks(F.col("n") - F.col("big.n"), F.col("shingles") - F.col("big.shingles")).alias("asking"))
+             .withColumn("part", F.coalesce("part", "node")))
+    parts = known.groupBy("loose", "part").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+    sizes = parts.groupBy("loose").agg(F.sum("sets").alias("sets"), F.sum("shingles").alias("shingles"), F.count("*").alias("parts"),
+                                       F.max(F.struct("sets", "part", "shingles")).alias("big")).filter("parts > 1")
+    sizes = sizes.select("loose", F.col("big.part").alias("big"), _blocks(F.col("sets"), F.col("shingles")).alias("all"),
+                         _blocks(F.col("sets") - F.col("big.sets"), F.col("shingles") - F.col("big.shingles")).alias("asking"))
     mine = written(known.join(sizes, "loose"), "apart")
 
     def each(asks: bool, here: str, there: str) -> DataFrame:
-        rows = mine.filter("part <> big" if asks else "true").select(
-            "node", "loose", "part", F.pmod("h", here).alias("here"), F.explode(F.sequence(F.lit(0), F.col(there) - 1)).cast("long").alias("there"))
         pair = ("here", "there") if asks else ("there", "here")
-        return rows.select(F.xxhash64("loose", *(F.col(c).cast("long") for c in pair)).alias("shard"), "node", "part", F.lit(asks).alias("asks"))
+        rows = mine.filter("part <> big" if asks else "true").select(
+            "loose", "part", F.pmod("h", here).cast("long").alias("here"), F.explode(F.sequence(F.lit(0), F.col(there) - 1)).alias("there"), "node")
+        return rows.select(F.xxhash64("loose", *(F.col(c).cast("long") for c in pair)).alias("shard"), "part", F.lit(asks).alias("asks"), "node")
 
     # A set that asks and is asked in one shard is there once.
-    pairs = each(True, "asking", "all").union(each(False, "all", "asking")).groupBy("shard", "node", "part").agg(F.max("asks").alias("asks"))
-    return first.union(_search(pairs, sets, similarity, "links"))
+    pairs = each(True, "asking", "all").union(each(False, "all", "asking")).groupBy("shard", "part", "node").agg(F.max("asks").alias("asks"))
+    return first.union(_search(pairs, texts, shingle, similarity))
 
 
 def joined(docs: DataFrame, shingle: int = 4, similarity: int = 85) -> DataFrame:
@@ -280,20 +254,33 @@ def joined(docs: DataFrame, shingle: int = 4, similarity: int = 85) -> DataFrame
     columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("body"))
-    found = written(docs.mapInArrow(_measured(shingle, similarity, rarity(docs, shingle)), _MEASURED), "measured")
-    distinct = found.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.min("body").alias("body"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    distinct = written(distinct, "distinct")
+    found = written(docs.mapInArrow(_measured(shingle, COUNTED * (100 - similarity) / 100), _MEASURED), "measured")
+    sets = found.filter("n > 0")
+    distinct = written(sets.groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "body")).alias("text"), F.max("n").alias("n")), "distinct")
+    held = sets.select(F.explode("some").alias("shingle"), "node").groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    alone = held.filter("node = last").groupBy("node").agg(F.count("*").alias("alone"))
+    # How many elements of a set hold one of any set that it links with.
+    reach = F.col("n") - F.floor((F.col("n") * similarity + 99) / 100) + 1
+    asked = distinct.join(alone, "node", "left").filter(F.coalesce("alone", F.lit(0)) < reach)
+    asked = written(asked.select("node", "n", F.col("text.doc_id").alias("doc"), "text.body"), "asked")
+    same = docs["doc_id"].eqNullSafe(asked["doc"]) & (docs["body"] == asked["body"])
+    texts = written(docs.join(asked, same).select("node", "text").dropDuplicates(["node"]), "texts")
+
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # One exchange serves the count and the join.
-    postings = distinct.select(F.explode("prefix").alias("shingle"), "node").repartition(n, "shingle")
-    shared = postings.groupBy("shingle").agg(F.min("node").alias("u"), F.max("node").alias("last")).filter("u <> last").select("shingle", "u")
-    stars = postings.join(shared, "shingle").filter("node <> u").select("u", F.col("node").alias("v")).distinct()
-    loose = written(components(stars).withColumnRenamed("root", "loose").join(distinct.select("node", "n", "body"), "node"), "loose")
-    # One text per node: rows that hold it are told by its hash, copies are dropped as sets.
-    texts = docs.select("text", "body").join(loose.select("node", "body"), "body")
-    sets = written(texts.mapInArrow(_sets(shingle), "node long, shingles array<long>").dropDuplicates(["node"]), "sets")
-    root = components(_links(loose.select("node", "loose", "n"), sets, similarity))
+    postings = texts.mapInArrow(_postings(shingle), "shingle long, node long").repartition(n, "shingle")
+    often = postings.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1")
+    shared = postings.join(often, "shingle").join(asked.select("node", "n"), "node")
+    own = Window.partitionBy("node")
+    # Elements that only one set has come first; those are not listed here.
+    rare = (shared.withColumn("place", F.row_number().over(own.orderBy("sets", "shingle")) + F.col("n") - F.count("*").over(own))
+            .filter(F.col("place") <= reach).select("shingle", "node"))
+    rare = written(rare, "rare")
+    first = rare.groupBy("shingle").agg(F.min("node").alias("u"), F.max("node").alias("last")).filter("u <> last").select("shingle", "u")
+    stars = rare.join(first, "shingle").filter("node <> u").select("u", F.col("node").alias("v")).distinct()
+    loose = components(stars).withColumnRenamed("root", "loose").join(asked, "node").select("node", "loose", "n")
+    root = components(_links(loose, texts, shingle, similarity))
     of = distinct.join(root, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     names = of.join(of.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("node", "component_id")
     return found.join(names, "node", "left").select(
