@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600
+#: Parts into which a busy bucket may be cut.
+SLICES = 4096
 
 _BUCKET, _SEED, _VALUE = "__bucket", "__is_row", "__value"
 
@@ -27,16 +29,38 @@ def time_bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000))
 
 
+def with_slices(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: int,
+                most_rows: int | None = None) -> DataFrame:
+    """``__bucket``: the time bucket of a row, cut further where it is busy.
+
+    Buckets of a key that hold more than ``most_rows`` rows are counted first and cut
+    into slices of equal time, as many as their rows need; the list of busy buckets has at
+    most one row per ``most_rows`` rows.  Rows of one instant stay together.
+    """
+    whole = time_bucket(F.col(ts), bucket_seconds)
+    if most_rows is None:
+        return df.withColumn(_BUCKET, whole)
+    names = {c: f"__busy_{i}" for i, c in enumerate([*keys, _BUCKET])}
+    busy = (df.groupBy(*keys, whole.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("__rows"))
+            .filter(F.col("__rows") > most_rows).withColumnsRenamed(names))
+    rows = df.withColumn(_BUCKET, whole)
+    same = [rows[c].eqNullSafe(busy[n]) for c, n in names.items()]
+    cut = F.least(F.ceil(F.col("__rows") / most_rows), F.lit(SLICES))
+    width = bucket_seconds * 1_000_000
+    inside = F.unix_micros(F.col(ts)) - F.col(_BUCKET) * F.lit(width)
+    place = F.coalesce(F.floor(inside / F.lit(width) * cut), F.lit(0))
+    return (rows.join(busy, same, "left").withColumn(_BUCKET, F.col(_BUCKET) * SLICES + place)
+            .drop("__rows", *names.values()))
+
+
 def _order_key(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _bucketed(df: DataFrame, value: Column, ts: str, bucket_seconds: int) -> DataFrame:
-    return df.withColumns({
-        _BUCKET: time_bucket(F.col(ts), bucket_seconds),
-        _SEED: F.lit(1),
-        _VALUE: value,
-    })
+def _bucketed(df: DataFrame, keys: Sequence[str], value: Column, ts: str, bucket_seconds: int,
+              most_rows: int | None = None) -> DataFrame:
+    return with_slices(df, keys, ts, bucket_seconds, most_rows).withColumns(
+        {_SEED: F.lit(1), _VALUE: value})
 
 
 def _seeded(rows: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -49,11 +73,12 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def with_previous(df: DataFrame, keys: Sequence[str], ts: str, previous: Mapping[str, str],
                   ties: Sequence[str] = (),
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                  most_rows: int | None = None) -> DataFrame:
     """Add columns of the preceding row per key; ``previous`` maps new name to column."""
     keys, order = list(keys), [ts, *ties]
     value = F.struct(*[F.col(c).alias(name) for name, c in previous.items()])
-    rows = _bucketed(df, value, ts, bucket_seconds)
+    rows = _bucketed(df, keys, value, ts, bucket_seconds, most_rows)
     seeds = (
         rows.groupBy(*keys, _BUCKET)
         .agg(F.max_by(_VALUE, _order_key(order)).alias("__last"))
@@ -69,10 +94,11 @@ def with_previous(df: DataFrame, keys: Sequence[str], ts: str, previous: Mapping
 
 def with_last_known(df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str,
                     ties: Sequence[str] = (),
-                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                    most_rows: int | None = None) -> DataFrame:
     """Add the latest non-NULL ``value`` of the key up to and including each row."""
     keys, order = list(keys), [ts, *ties]
-    rows = _bucketed(df, F.col(value), ts, bucket_seconds)
+    rows = _bucketed(df, keys, F.col(value), ts, bucket_seconds, most_rows)
     earlier = (
         Window.partitionBy(*keys).orderBy(_BUCKET)
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -93,10 +119,11 @@ def with_last_known(df: DataFrame, keys: Sequence[str], ts: str, value: str, nam
 
 def with_running_sum(df: DataFrame, keys: Sequence[str], ts: str, sums: Mapping[str, Column],
                      ties: Sequence[str] = (),
-                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                     most_rows: int | None = None) -> DataFrame:
     """Add running totals per key in time order; ``sums`` maps new name to expression."""
     keys, order = list(keys), [ts, *ties]
-    rows = _bucketed(df, F.struct(*[c.alias(n) for n, c in sums.items()]), ts, bucket_seconds)
+    rows = _bucketed(df, keys, F.struct(*[c.alias(n) for n, c in sums.items()]), ts, bucket_seconds, most_rows)
     earlier = (
         Window.partitionBy(*keys).orderBy(_BUCKET)
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -115,6 +142,158 @@ def with_running_sum(df: DataFrame, keys: Sequence[str], ts: str, sums: Mapping[
         {n: F.sum(F.col(_VALUE).getField(n)).over(within) for n in sums}))
 
 
+def with_neighbours(df: DataFrame, keys: Sequence[str], ts: str, previous: Mapping[str, str],
+                    following: Mapping[str, str], ties: Sequence[str] = (),
+                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                    most_rows: int | None = None) -> DataFrame:
+    """Columns of the rows before and after each row of a key, in one shuffle of the rows.
+
+    A bucket gets a seed from the last row of the bucket before it and one, behind its
+    own rows, from the first row of the next.
+    """
+    keys, order = list(keys), [ts, *ties]
+    taken = sorted({*previous.values(), *following.values()})
+    rows = _bucketed(df, keys, F.struct(*taken), ts, bucket_seconds, most_rows)
+    ends = rows.groupBy(*keys, _BUCKET).agg(
+        F.max_by(_VALUE, _order_key(order)).alias("__last"),
+        F.min_by(_VALUE, _order_key(order)).alias("__first"))
+    scan = Window.partitionBy(*keys).orderBy(_BUCKET)
+    both = ends.select(*keys, _BUCKET, F.array(
+        F.struct(F.lit(0).alias(_SEED), F.lag("__last").over(scan).alias(_VALUE)),
+        F.struct(F.lit(2).alias(_SEED), F.lead("__first").over(scan).alias(_VALUE))).alias("__both"))
+    seeds = both.select(*keys, _BUCKET, F.explode("__both").alias("__s")).select(*keys, _BUCKET, "__s.*")
+    within = Window.partitionBy(*keys, _BUCKET).orderBy(_SEED, *order)
+    out = rows.unionByName(seeds, allowMissingColumns=True).withColumns(
+        {"__prev": F.lag(_VALUE).over(within), "__next": F.lead(_VALUE).over(within)})
+    out = out.withColumns({
+        **{n: F.col("__prev").getField(c) for n, c in previous.items()},
+        **{n: F.col("__next").getField(c) for n, c in following.items()}})
+    return _finish(out.drop("__prev", "__next"))
+
+
+def with_next_known(df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str,
+                    ties: Sequence[str] = (),
+                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                    most_rows: int | None = None) -> DataFrame:
+    """Add the earliest non-NULL ``value`` of the key from each row on: a scan backwards in time."""
+    keys, order = list(keys), [ts, *ties]
+    rows = _bucketed(df, keys, F.col(value), ts, bucket_seconds, most_rows)
+    later = (
+        Window.partitionBy(*keys).orderBy(F.desc(_BUCKET))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    seeds = (
+        rows.groupBy(*keys, _BUCKET)
+        .agg(F.min_by(_VALUE, F.when(F.col(_VALUE).isNotNull(), _order_key(order)))
+             .alias("__first"))
+        .select(*keys, _BUCKET, F.last("__first", ignorenulls=True).over(later).alias(_VALUE))
+    )
+    within = (
+        Window.partitionBy(*keys, _BUCKET).orderBy(_SEED, *[F.desc(c) for c in order])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return _finish(
+        _seeded(rows, seeds).withColumn(name, F.last(_VALUE, ignorenulls=True).over(within)))
+
+
+def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
+               values: Sequence[str], tolerance_seconds: float | None = None,
+               right_ts: str | None = None, matched_ts: str = "matched_ts",
+               ties: Sequence[str] = (), bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+               most_rows: int | None = None) -> DataFrame:
+    """Each row of ``left`` with ``values`` of the newest row of ``right`` at or before it.
+
+    Rows match on ``keys``; among rows of ``right`` at one instant the greatest by
+    ``ties`` counts.  ``matched_ts`` tells the instant; a match older than the tolerance
+    is none.  Both tables are dealt by (key, time slice), a busy slice is cut by counted
+    rows, and a slice without a row of ``right`` before a row of ``left`` is seeded from
+    the slices before it.  NULL keys match nothing.
+    """
+    keys, mine = list(keys), list(left.columns)
+    right_ts = right_ts or ts
+    found = F.struct(F.col(right_ts).alias(matched_ts), *values)
+    marks = right.select(*keys, F.col(right_ts).alias(ts), F.struct(F.col(right_ts).alias("__at"), *ties).alias("__tie"),
+                         found.alias(_VALUE)).withColumn("__side", F.lit(0))
+    marks = marks.filter(F.col(ts).isNotNull()).dropna(subset=keys)
+    both = left.withColumn("__side", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    rows = with_slices(both, keys, ts, bucket_seconds, most_rows).withColumn(_SEED, F.lit(1))
+    earlier = (
+        Window.partitionBy(*keys).orderBy(_BUCKET)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    seeds = (
+        rows.groupBy(*keys, _BUCKET)
+        .agg(F.max_by(_VALUE, "__tie").alias("__last"), F.max("__side").alias("__asks"))
+        .select(*keys, _BUCKET, "__asks", F.last("__last", ignorenulls=True).over(earlier).alias(_VALUE))
+        .filter((F.col("__asks") == 1) & F.col(_VALUE).isNotNull()).drop("__asks")
+    )
+    within = (
+        Window.partitionBy(*keys, _BUCKET).orderBy(_SEED, ts, "__side", "__tie")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    last = _seeded(rows, seeds).withColumn("__found", F.last(_VALUE, ignorenulls=True).over(within))
+    last = _finish(last.filter((F.col("__side") == 1)))
+    fits = F.lit(True)
+    if tolerance_seconds is not None:
+        age = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("__found").getField(matched_ts))
+        fits = age <= F.lit(round(tolerance_seconds * 1e6))
+    return last.select(*mine, *[F.when(fits, F.col("__found").getField(c)).alias(c) for c in (matched_ts, *values)])
+
+
+def islands(df: DataFrame, keys: Sequence[str], ts: str, state: str, ties: Sequence[str] = (),
+            bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+            most_rows: int | None = None) -> DataFrame:
+    """Runs of successive rows of a key with one ``state``: first_ts, last_ts, rows.
+
+    Islands are found within (key, time slice).  Those that touch neither end of their
+    slice are whole; of the others, at most two per slice, the last one of a slice is
+    merged with the first one of the next if the state is the same.  NULL is a state.
+    """
+    keys, order = list(keys), [ts, *ties]
+    rows = with_slices(df.select(*keys, *order, *({state} - {*keys, *order})), keys, ts, bucket_seconds, most_rows)
+    part = Window.partitionBy(*keys, _BUCKET)
+    within = part.orderBy(*order)
+    begins = F.lag(F.lit(1)).over(within).isNull() | ~F.lag(state).over(within).eqNullSafe(F.col(state))
+    numbered = rows.withColumn("__begins", begins.cast("int")).withColumn(
+        "__n", F.sum("__begins").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    parts = numbered.groupBy(*keys, _BUCKET, "__n").agg(
+        F.first(state).alias("__state"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
+        F.count(F.lit(1)).alias("rows"))
+    parts = parts.withColumn("__most", F.max("__n").over(part))
+    inner = (F.col("__n") > 1) & (F.col("__n") < F.col("__most"))
+    shown = [*keys, F.col("__state").alias(state), "first_ts", "last_ts", "rows"]
+    scan = Window.partitionBy(*keys).orderBy(_BUCKET, "__n")
+    goes_on = (F.col("__n") == 1) & F.lag(F.lit(1)).over(scan).isNotNull() & F.lag("__state").over(scan).eqNullSafe(F.col("__state"))
+    edges = parts.filter(~inner).withColumn("__new", (~goes_on).cast("int")).withColumn(
+        "__island", F.sum("__new").over(scan.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = edges.groupBy(*keys, "__island").agg(
+        F.first("__state").alias("__state"), F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"), F.sum("rows").alias("rows"))
+    return parts.filter(inner).select(*shown).unionByName(merged.select(*shown))
+
+
+def with_earliest_within(df: DataFrame, keys: Sequence[str], ts: str, values: Mapping[str, str],
+                         seconds: int, ties: Sequence[str] = (), bucket_seconds: int | None = None) -> DataFrame:
+    """Columns of the earliest row of the key in the ``seconds`` before each row, itself included.
+
+    Buckets are at least as long as the window, so a copy of the rows at the end of the
+    bucket before is all that a bucket needs; every row is shuffled at most twice.  The
+    frame holds the rows of one key in the window: bounded by the poll rate.
+    """
+    keys, width = list(keys), max(bucket_seconds or 0, seconds)
+    row = F.struct(F.unix_micros(F.col(ts)).alias("__at"), *ties, *[F.col(c).alias(f"__v_{n}") for n, c in values.items()])
+    rows = df.withColumns({_BUCKET: time_bucket(F.col(ts), width), _SEED: F.lit(1), _VALUE: row})
+    left = F.unix_micros(F.col(ts)) - F.col(_BUCKET) * F.lit(width * 1_000_000)
+    copies = (rows.filter(left >= F.lit((width - seconds) * 1_000_000))
+              .select(*keys, ts, (F.col(_BUCKET) + 1).alias(_BUCKET), F.lit(0).alias(_SEED), _VALUE))
+    frame = (Window.partitionBy(*keys, _BUCKET).orderBy(F.col("__us"))
+             .rangeBetween(-seconds * 1_000_000, Window.currentRow))
+    out = (rows.unionByName(copies, allowMissingColumns=True).withColumn("__us", F.unix_micros(F.col(ts)))
+           .withColumn("__earliest", F.min(_VALUE).over(frame)).drop("__us"))
+    out = out.withColumns({n: F.col("__earliest").getField(f"__v_{n}") for n in values})
+    return _finish(out.drop("__earliest"))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest row per key by ``order``; partial aggregation keeps one row per task and key."""
     keys = list(keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Conf entries every job needs: wall-clock maths assumes a UTC session, AQE
 # re-plans joins from measured sizes and splits skewed partitions, and only
@@ -66,3 +66,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="headway-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a Parquet table in a work folder: cuts lineage and survives lost executors."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
