@@ -63,6 +63,7 @@ class Tables:
         self.drift_events = f"{root}/drift_events"
         self.runs = f"{root}/compaction_runs"
         self.archived = f"{root}/archived_files"
+        self.streamed = f"{root}/streamed_files"
 
     def dataset(self, name: str) -> str:
         return f"{self.raw}/{name}"
@@ -213,27 +214,49 @@ def _publish(spark, tables, dataset, day, fields, run) -> None:
     if run["journals_found"] == run["journals_skipped"]:
         run["status"] = "partial"
         return
-    annotations = None
+    found = None
     if registry is not None:
         changes, verdicts = drift.classify_drift(registry, fields, ["path"])
         last = verdicts.filter("drift_type = 'breaking'").agg(F.max("path").alias("path"))
-        annotations = drift.drift_summary(changes.join(last, "path", "left_semi"), ["path"])
-        found = annotations.first()
+        found = drift.drift_summary(changes.join(last, "path", "left_semi"), ["path"]).first()
         if found is not None:
-            annotations.select(
-                F.lit(dataset).alias("dataset"), F.lit(day.isoformat()).alias("date"),
-                "path", "drift_summary").write.mode("append").parquet(tables.drift_events)
             first = rows.columns[0]
             rows = rows.withMetadata(
                 first, {"schema_drift": "true", "drift_summary": found["drift_summary"]})
     out = tables.dataset(dataset)
     run["rows_written"], _ = store.publish_day(rows, out, day.isoformat(), expected)
     run["upload_bytes"] = store.day_bytes(spark, out, day.isoformat())
+    record_drift(spark, tables, dataset, day, found)
     bootstrap_registry(spark, tables, dataset, StructType(
         [f for f in target if f.name != drift.RESCUED]))
     run["status"] = "success"
 
 
+DRIFT_DDL = "path string, drift_summary string, dataset string, date string"
+
+
+def record_drift(spark: SparkSession, tables: Tables, dataset: str, day: date, found) -> None:
+    """What the day as now stored shows: replaces what was recorded for it before.
+
+    It follows the publication, so that a failed run records nothing and a run that is
+    repeated records nothing twice.
+    """
+    folder = f"{tables.drift_events}/dataset={dataset}/date={day.isoformat()}"
+    if found is None:
+        if store.exists(spark, folder):
+            store.delete(spark, folder)
+        return
+    spark.createDataFrame([(found["path"], found["drift_summary"])], "path string, drift_summary string") \
+        .coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def load_drift(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Recorded drift of all stored days; no rows where none was ever recorded."""
+    if not store.exists(spark, tables.drift_events):
+        return spark.createDataFrame([], DRIFT_DDL)
+    return spark.read.schema(DRIFT_DDL).parquet(tables.drift_events)
+
+
 def _archive(spark, tables, dataset, day, paths) -> None:
     """Move journals and list them as archived, so they are not compacted again."""
     folder = store.day_path(f"{tables.archive}/{dataset}", day.isoformat())

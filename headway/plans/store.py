@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from headway.functions.clock import LOCAL_TZ, PARTITION_HOUR, service_date
@@ -33,9 +34,12 @@ def publish_day(df: DataFrame, root: str, date: str, expected: int | None = None
 
     Rows are written to a staging folder, counted while they are written, counted again
     from the stored files and compared with ``expected``; only then does the staged day
-    take the place of the live one.  Whatever fails before leaves the live day as it is.
+    take the place of the live one.  Whatever fails before leaves the live day as it is,
+    and the old copy is deleted only once the new one is in its place; a publication that
+    broke off between the two renames is undone first.
     """
     spark = df.sparkSession
+    restore_day(spark, root, date)
     replaced = stored_rows(spark, root, date)
     staging = f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex[:12]}"  # hidden from readers
     seen = Observation(f"publish-{uuid.uuid4().hex[:8]}")
@@ -46,23 +50,66 @@ def publish_day(df: DataFrame, root: str, date: str, expected: int | None = None
         counts = [written, stored_rows(spark, staging, date), *([] if expected is None else [expected])]
         if len(set(counts)) > 1:
             raise RuntimeError(f"row count mismatch for {date}: written, stored, expected {counts}")
-        _swap(spark, day_path(staging, date), day_path(root, date), f"{staging}/replaced")
+        _swap(spark, day_path(staging, date), day_path(root, date), _aside(root, date))
     finally:
         delete(spark, staging)
     return written, replaced
 
 
+def _aside(root: str, date: str) -> str:
+    """Where the live day waits while it is replaced; hidden from readers."""
+    return day_path(f"{root.rstrip('/')}/_replaced", date)
+
+
 def _swap(spark: SparkSession, staged: str, live: str, aside: str) -> None:
-    """Put a staged folder in the place of the live one, which goes back if that fails."""
+    """Put a staged folder in the place of the live one, which goes back if that fails.
+
+    If it cannot go back either, it stays aside, where ``restore_day`` finds it.
+    """
     filesystem, target = _path(spark, live)
     kept = _path(spark, aside)[1]
     had = filesystem.exists(target)
-    if had and not filesystem.rename(target, kept):
-        raise OSError(f"cannot set {live} aside")
-    if not filesystem.rename(_path(spark, staged)[1], target):
-        if had:
-            filesystem.rename(kept, target)
+    if had:
+        filesystem.mkdirs(kept.getParent())
+        if not _renamed(filesystem, target, kept):
+            raise OSError(f"cannot set {live} aside")
+    if not _renamed(filesystem, _path(spark, staged)[1], target):
+        if had and not _renamed(filesystem, kept, target):
+            raise OSError(f"cannot publish {live}; the day as it was is in {aside}")
         raise OSError(f"cannot publish {live}")
+    if had:
+        _forget(filesystem, kept)
+
+
+def _renamed(filesystem, source, target) -> bool:
+    """Whether the folder is now ``target``; errors of the filesystem count as no."""
+    try:
+        return bool(filesystem.rename(source, target))
+    except Py4JJavaError:
+        return False
+
+
+def _forget(filesystem, kept) -> None:
+    filesystem.delete(kept, True)
+    if not filesystem.listStatus(kept.getParent()):
+        filesystem.delete(kept.getParent(), False)
+
+
+def restore_day(spark: SparkSession, root: str, date: str) -> bool:
+    """Put back a live day that a broken publication left aside: whether there was one.
+
+    Where the new day is in place already, only the old copy is left over and goes.
+    """
+    filesystem, target = _path(spark, day_path(root, date))
+    kept = _path(spark, _aside(root, date))[1]
+    if not filesystem.exists(kept):
+        return False
+    if filesystem.exists(target):
+        _forget(filesystem, kept)
+        return False
+    if not _renamed(filesystem, kept, target):
+        raise OSError(f"cannot put back {date} from {kept.toString()}")
+    return True
 
 
 def day_path(root: str, date: str) -> str:

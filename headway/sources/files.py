@@ -171,8 +171,8 @@ def footer_gaps(footers: DataFrame) -> DataFrame:
     return footers.select(gap.alias("g")).select("g.*").filter("is_gap")
 
 
-def footer_drift(footers: DataFrame) -> DataFrame:
-    """``DRIFT``, ``OK`` or ``?`` (unreadable) per file.
+def drift_flag() -> Column:
+    """``DRIFT``, ``OK`` or ``?`` (unreadable) of a footer.
 
     A file's flag is in its key/value metadata if another writer left it there, and in the
     metadata of a column of the Spark schema in files that compaction published.
@@ -180,4 +180,23 @@ def footer_drift(footers: DataFrame) -> DataFrame:
     values = F.col("key_values")
     flag = F.get_json_object(values.getItem("org.apache.spark.sql.parquet.row.metadata"), "$.fields[*].metadata.schema_drift")
     drifted = F.coalesce(values.getItem("schema_drift") == "true", F.lit(False)) | F.coalesce(flag.contains("true"), F.lit(False))
-    return footers.select("path", F.when(F.col("num_rows").isNull(), "?").when(drifted, "DRIFT").otherwise("OK").alias("drift"))
+    return F.when(F.col("num_rows").isNull(), "?").when(drifted, "DRIFT").otherwise("OK")
+
+
+def footer_drift(footers: DataFrame) -> DataFrame:
+    """The drift flag of each file."""
+    return footers.select("path", drift_flag().alias("drift"))
+
+
+def footer_report(spark: SparkSession, root: str) -> DataFrame:
+    """Every Parquet file below a folder: path, num_rows, drift and has_gap of its footer.
+
+    Only names and footers are read, and the files are dealt over all tasks; a file that
+    cannot be read keeps its row, with ``?``.
+    """
+    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", True).load(root).select("path"))
+    gap = F.get_json_object(F.col("key_values").getItem("gap_metadata"), "$.is_gap") == "true"
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return parquet_footers(names.repartition(tasks, "path")).select(
+        "path", "num_rows", drift_flag().alias("drift"), F.coalesce(gap, F.lit(False)).alias("has_gap"))

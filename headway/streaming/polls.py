@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -27,17 +29,25 @@ def positions(raw: DataFrame, dedup_within: str | None = None) -> tuple[DataFram
     """
     good, rejected = train_positions(raw)
     if dedup_within is not None:
-        good = good.withWatermark("poll_timestamp", dedup_within).dropDuplicatesWithinWatermark(
-            ["poll_timestamp", "train_id"])
+        good = deduplicated(good, ["poll_timestamp", "train_id"], "poll_timestamp", dedup_within)
     return good, rejected
 
 
+def deduplicated(stream: DataFrame, keys: Sequence[str], ts: str, within: str) -> DataFrame:
+    """The first row of every key; a repeat counts as one up to ``within`` later in event time.
+
+    A key is kept as state until the watermark has passed its row by ``within``, so state
+    holds the keys of that much event time, however long the stream runs.
+    """
+    return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark(list(keys))
+
+
 def append(stream: DataFrame, ts: str, out: str, checkpoint: str,
-           interval: str | None = "15 minutes", salts: int = 1) -> StreamingQuery:
+           interval: str | None = "15 minutes", salts: int = 8) -> StreamingQuery:
     """Append to ``year=/month=/day=`` folders of each row's own service day.
 
-    Each micro-batch is shuffled by day and ``salts`` parts of it, so that a day gets at
-    most so many files from it, whatever the number of tasks.  Without an interval the
+    Each micro-batch is shuffled by day and ``salts`` parts of it: a live stream's single
+    day is written by so many tasks and gets at most so many files.  Without an interval the
     query takes what has landed and ends.
     """
     day = service_date(F.col(ts))

@@ -163,7 +163,7 @@ def compaction_run(spark, sf_dir):
     """Run record, drift verdict and archive list of a whole compaction."""
     tables = _compacted(spark, sf_dir)
     runs = spark.read.parquet(tables.runs)
-    drifted = spark.read.parquet(tables.drift_events).select(
+    drifted = compaction.load_drift(spark, tables).select(
         "date", F.get_json_object("drift_summary", "$.breaking_fields[0].name").alias("drifted"))
     archived = spark.read.parquet(tables.archived).groupBy("date").agg(
         F.count(F.lit(1)).alias("archived"))
@@ -242,11 +242,29 @@ def compaction_report(spark, sf_dir):
     for day in (plain, empty):
         compaction.compact_day(spark, tables, "events", day, F.lit(day).cast("timestamp"))
     runs = spark.read.parquet(tables.runs)
-    flags = compaction.stored_drift(runs, spark.read.parquet(tables.drift_events))
+    flags = compaction.stored_drift(runs, compaction.load_drift(spark, tables))
     return compaction.runs_with_drift(runs, flags).select("date", "status", "rows_written", "drift")
 
 
+def footer_report(spark, sf_dir):
+    """Footers of a folder per kind of event: errors' file is marked as drifted, one file is broken."""
+    root = work_dir(spark, "footers")
+    source = events(spark, sf_dir)
+    for drifted in (True, False):
+        rows = source.filter((C("event_type") == "error") == drifted)
+        marked = rows.withMetadata("event_id", {"schema_drift": "true"}) if drifted else rows
+        marked.repartition(4, "event_type").withColumn("kind", C("event_type")).write.mode("append").partitionBy("kind").parquet(root)
+    filesystem, inner = open_folder(f"{root}/kind=broken")
+    filesystem.create_dir(inner, recursive=True)
+    with filesystem.open_output_stream(f"{inner}/part-broken.parquet") as sink:
+        sink.write(b"PAR1 cut off")
+    report = files.footer_report(spark, root)
+    return report.withColumn("kind", F.regexp_extract("path", "kind=([^/]+)", 1)).groupBy("kind", "drift").agg(
+        F.sum("num_rows").alias("rows_stored"), F.count_if("has_gap").alias("gaps"))
+
+
 QUERIES = {
+    "footer_report": footer_report,
     "run_summary": run_summary,
     "runs_with_drift": runs_with_drift,
     "retention_doomed": retention_doomed,
@@ -280,6 +298,9 @@ def _stored(day):
 _FILE = f"printf('%03d_%d', user_id % {JOURNALS}, epoch_us(ts) // {SLICE_DAYS * 86_400_000_000})"
 
 ORACLE = {
+    "footer_report": """SELECT event_type AS kind, CASE WHEN event_type = 'error' THEN 'DRIFT' ELSE 'OK' END AS drift,
+        count(*) AS rows_stored, 0::BIGINT AS gaps FROM events GROUP BY 1, 2
+        UNION ALL SELECT 'broken', '?', NULL, 0""",
     "run_summary": f"""SELECT count(DISTINCT o_orderdate) AS days, count(*) AS runs,
         count(*) FILTER (o_orderstatus = 'F') AS failures FROM orders
         WHERE o_orderdate::DATE >= {_LAST} - {WINDOW_DAYS}""",

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headway.functions import epoch_seconds, to_instant
+from headway.functions import epoch_seconds, service_date, to_instant
+from headway.plans.compaction import Tables
+from headway.plans.streamed import publish_streamed
 from headway.session import configure, work_dir
+from headway.sources import files
 from headway.streaming import polls as poll_stream
 from headway.streaming.stateful import alerts_to_send_stream, detect_gaps_stream
 from headway.streaming.telemetry import append_events, newest_windows, upsert_windows, windowed_metrics
@@ -77,6 +80,53 @@ def quota_gap_stream(spark, sf_dir):
     return _in_turns(spark, sf_dir, build)
 
 
+def deduped_stream(spark, sf_dir, turns: int = 4):
+    """Every turn lands the events of its time and, once more, the last hour of the turn before."""
+    source = table(spark, sf_dir, "events").withColumn("ts", to_instant(C("ts")))
+    lo, hi = (source.agg(F.unix_micros(f("ts")).alias("us")).scalar() for f in (F.min, F.max))
+    us, width = F.unix_micros("ts"), hi - lo + 1
+    part = F.floor((us - lo) * turns / width)
+    out = work_dir(spark, "deduped")
+    for turn in range(turns):
+        again = (part == turn - 1) & (us >= lo + width * turn / turns - 3_600_000_000)
+        source.filter((part == turn) | again).write.mode("append").parquet(f"{out}/landed")
+        stream = spark.readStream.schema(source.schema).parquet(f"{out}/landed")
+        kept = poll_stream.deduplicated(stream, ["event_id"], "ts", "2 hours")
+        append_events(kept, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return spark.read.schema(source.schema).parquet(f"{out}/rows").select(
+        "event_id", "user_id", "event_type", "value", F.unix_micros("ts").alias("us"))
+
+
+def stream_to_day(spark, sf_dir):
+    """A poll stream's days in the daily dataset, after a killed task, a restart and late polls.
+
+    A tenth of the table's time: four days.  Every fiftieth poll lands only after the days
+    were published for the first time.
+    """
+    at = F.timestamp_micros(F.floor(F.unix_micros("ts") / 10).cast("long"))
+    source = _table_events(spark, sf_dir).select("event_id", at.alias("poll_ts"), "event_type", "value")
+    middle = source.select(F.timestamp_micros(((F.unix_micros(F.min("poll_ts")) + F.unix_micros(F.max("poll_ts"))) / 2).cast("long"))).scalar()
+    late, early = C("event_id") % 50 == 0, C("poll_ts") < middle
+    tables = Tables(work_dir(spark, "streamed"))
+    root = work_dir(spark, "sink")
+    for turn, landed in enumerate((~late & early, ~late & ~early, late)):
+        source.filter(landed).write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(source.schema).parquet(f"{root}/landed")
+        poll_stream.append(stream, "poll_ts", f"{root}/rows", f"{root}/checkpoint", interval=None).awaitTermination()
+        if turn == 0:  # what a killed query leaves: files that no commit names
+            day = service_date(C("poll_ts"))
+            source.filter(early).withColumns({n: F.date_format(day, f) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}) \
+                .write.mode("append").partitionBy("year", "month", "day").parquet(f"{root}/rows")
+        else:
+            publish_streamed(spark, tables, "polls", f"{root}/rows", source.schema, "poll_ts")
+    return files.dataset(spark, tables.dataset("polls"), source.schema).select(
+        "date", "event_id", F.unix_micros("poll_ts").alias("us"), "event_type", "value")
+
+
+def _table_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").withColumn("ts", to_instant(C("ts")))
+
+
 def cooldown_stream(spark, sf_dir):
     source = _events(spark, sf_dir).select(
         C("user_id").alias("key"), "ts", (C("event_type") == "error").alias("should_alert"))
@@ -122,6 +172,8 @@ QUERIES = {
     "position_stream": position_stream,
     "quota_gap_stream": quota_gap_stream,
     "restart_gap_stream": restart_gap_stream,
+    "deduped_stream": deduped_stream,
+    "stream_to_day": stream_to_day,
 }
 
 ORACLE = {
@@ -131,6 +183,11 @@ ORACLE = {
         WHERE is_gap""",
     "quota_gap_stream": f"""WITH {gap_queries._gaps("(SELECT * FROM events WHERE event_type <> 'error')", quota=True)}
         SELECT {gap_queries._COLUMNS} FROM gaps WHERE is_gap""",
+    "deduped_stream": "SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events",
+    "stream_to_day": f"""WITH polls AS (SELECT event_id, event_type, value, make_timestamp(epoch_us(ts) // 10) AS poll_ts FROM events),
+        days AS (SELECT *, {gap_queries._SERVICE_DAY.format(ts='poll_ts')} AS date FROM polls)
+        SELECT date, event_id, epoch_us(poll_ts) AS us, event_type, value FROM days
+        WHERE date < (SELECT {gap_queries._SERVICE_DAY.format(ts="(max(poll_ts) - INTERVAL 1 HOUR)")} FROM polls)""",
     "cooldown_stream": health.ORACLE["alert_cooldown"],
     "windowed_stream": """WITH slots AS (SELECT user_id % 3 AS daemon, event_type AS span,
             event_type <> 'error' AS ok, ts, value,
