@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600
 #: Parts into which a busy bucket may be cut.
-SLICES = 4096
+SLICES = 256
 
 _BUCKET, _SEED, _VALUE = "__bucket", "__is_row", "__value"
 
@@ -33,24 +33,36 @@ def with_slices(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: int
                 most_rows: int | None = None) -> DataFrame:
     """``__bucket``: the time bucket of a row, cut further where it is busy.
 
-    Buckets of a key that hold more than ``most_rows`` rows are counted first and cut
-    into slices of equal time, as many as their rows need; the list of busy buckets has at
-    most one row per ``most_rows`` rows.  Rows of one instant stay together.
+    Buckets of a key that hold more than ``most_rows`` rows are found by counting; for
+    them alone rows are counted in ``SLICES`` slots of equal time, and neighbouring slots
+    join to slices of about ``most_rows`` rows, so that a slice is larger only if one slot
+    is.  Both lists have at most a row per ``most_rows`` / ``SLICES`` rows.
     """
     whole = time_bucket(F.col(ts), bucket_seconds)
     if most_rows is None:
         return df.withColumn(_BUCKET, whole)
-    names = {c: f"__busy_{i}" for i, c in enumerate([*keys, _BUCKET])}
-    busy = (df.groupBy(*keys, whole.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("__rows"))
-            .filter(F.col("__rows") > most_rows).withColumnsRenamed(names))
-    rows = df.withColumn(_BUCKET, whole)
-    same = [rows[c].eqNullSafe(busy[n]) for c, n in names.items()]
-    cut = F.least(F.ceil(F.col("__rows") / most_rows), F.lit(SLICES))
     width = bucket_seconds * 1_000_000
     inside = F.unix_micros(F.col(ts)) - F.col(_BUCKET) * F.lit(width)
-    place = F.coalesce(F.floor(inside / F.lit(width) * cut), F.lit(0))
-    return (rows.join(busy, same, "left").withColumn(_BUCKET, F.col(_BUCKET) * SLICES + place)
-            .drop("__rows", *names.values()))
+    rows = df.withColumn(_BUCKET, whole).withColumn("__slot", F.floor(inside * F.lit(SLICES) / F.lit(width)))
+    at = [*keys, _BUCKET, "__slot"]
+    names = {c: f"__busy_{i}" for i, c in enumerate(at)}
+
+    def same(other: DataFrame, columns: Sequence[str]) -> list[Column]:
+        return [rows[c].eqNullSafe(other[names[c]]) for c in columns]
+
+    busy = (rows.groupBy(*keys, _BUCKET).agg(F.count(F.lit(1)).alias("__rows"))
+            .filter(F.col("__rows") > most_rows).withColumnsRenamed(names))
+    slots = rows.join(busy, same(busy, at[:-1]), "left_semi").groupBy(*at).agg(F.count(F.lit(1)).alias("__rows"))
+    before = (Window.partitionBy(*keys, _BUCKET).orderBy("__slot")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    place = F.floor(F.coalesce(F.sum("__rows").over(before), F.lit(0)) / F.lit(most_rows))
+    # Places can skip numbers; the least slot of a place names it within ``SLICES``.
+    first = Window.partitionBy(*keys, _BUCKET, "__place")
+    slices = (slots.withColumn("__place", place).withColumn("__slice", F.min("__slot").over(first))
+              .drop("__rows", "__place").withColumnsRenamed(names))
+    return (rows.join(slices, same(slices, at), "left")
+            .withColumn(_BUCKET, F.col(_BUCKET) * SLICES + F.coalesce("__slice", F.lit(0)))
+            .drop("__slot", "__slice", *names.values()))
 
 
 def _order_key(order: Sequence[str]) -> Column:
