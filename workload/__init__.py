@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("gaps", "telemetry", "health", "payloads", "weather", "drift", "compaction", "streams", "journeys")
+MODULES = ("gaps", "telemetry", "health", "payloads", "weather", "drift", "compaction", "streams", "journeys", "landed")
 
 
 def load(attribute: str) -> dict:
