@@ -271,6 +271,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """All columns of the documents that hold no benchmark item.
 
-    A document without an id cannot be named by a leak and stays.
+    A row is known by the hash of all its columns: each is judged by its own text, whether
+    its doc_id is null or repeats another's.
     """
-    return docs.join(leaks(docs, benchmark, **how).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    rows = docs.withColumn("__row", F.xxhash64(*docs.columns))
+    found = leaks(rows.select(F.col("__row").alias("doc_id"), "text"), benchmark, **how).select(F.col("doc_id").alias("__leak")).distinct()
+    # As a written table Spark knows how large it is before it joins the texts.
+    found = written(found, "leaks")
+    return rows.join(found, rows["__row"] == found["__leak"], "left_anti").drop("__row")

@@ -212,3 +212,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 2,
     names = named.join(least, "root").select("fingerprint", "component_id")
     return prints.join(names, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, distance: int = 2) -> DataFrame:
+    """All columns of one document of each component: the one with the least doc_id.
+
+    Components are those of ``near_duplicates``, over rows: a row is known by the hash of
+    all its columns, so rows that repeat a doc_id with another text are documents of their
+    own, and rows that repeat each other whole are one.  A null id comes last, equal ids
+    are told apart by their rows' hashes.  An empty table gives an empty result.
+    """
+    rows = docs.withColumn("__row", F.xxhash64(*docs.columns))
+    found = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), shingle, distance)
+    of = written(found.groupBy(F.col("doc_id").alias("__row"), "component_id").agg(F.count(F.lit(1)).alias("__times")), "components")
+    ids = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("order")).distinct()
+    first = F.min_by(F.struct("__row", "__times"), "order").alias("first")
+    stays = written(of.join(ids, "__row").groupBy("component_id").agg(first).select("first.*"), "stays")
+    alone = rows.join(stays.filter("__times = 1"), "__row", "left_semi")
+    repeated = rows.join(stays.filter("__times > 1"), "__row", "left_semi").dropDuplicates(["__row"])
+    return alone.union(repeated).drop("__row")
