@@ -6,31 +6,45 @@ all but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
-from headway.llm import decontaminate, line_templates, near_copies, packing, rules
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from headway.llm import decontaminate, line_templates, packing, rules, simhash
 from headway.llm.frames import text_session, written
 from headway.llm.queries import tokenizer_path
 
 
+def _as_given(docs: DataFrame, added: tuple, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run`` with the columns of ``docs``; those that it would overwrite wait under private names."""
+    private = {c: f"__given_{c}" for c in docs.columns if c in added}
+    out = run(docs.withColumnsRenamed(private))
+    return out.select(*(F.col(private.get(c, c)).alias(c) for c in docs.columns))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the risk-controlled rules keep."""
-    text_session(spark)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    measures = written(rules.measured(docs), "measures")
-    return rules.judged(measures, rules.learned(measures, labels)).filter("kept").select(docs.columns)
+    labels = text_session(spark).read.parquet(f"{sf_dir}/labels.parquet")
+
+    def kept(given: DataFrame) -> DataFrame:
+        measures = written(rules.measured(given), "measures")
+        # A row per stratum, as a written table: Spark sees its size before it joins.
+        learned = written(rules.learned(measures, labels), "rules")
+        return rules.judged(measures, learned).filter("kept")
+
+    return _as_given(docs, (*rules.COUNTS, "base_failed", "kept"), kept)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines of templates that an earlier document has; n_chars follows."""
     text_session(spark)
-    return line_templates.without_recurring_lines(docs).select(docs.columns)
+    return _as_given(docs, ("n_lines", "n_dropped"), line_templates.without_recurring_lines)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies: five-word shingles, similarity 0.8."""
+    """One document of each group of fingerprints that differ in two bits at most."""
     text_session(spark)
-    return near_copies.one_of_each(docs, shingle=5, similarity=0.8)
+    return simhash.one_of_each(docs, shingle=3, distance=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +62,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("simhash_dedup", simhash_dedup),
           ("decontamination", decontamination), ("packing", packed)]
 
-#: None: near-copies and packing are not expressible in SQL; tests compare them with brute force.
+#: None: fingerprints and packing are not expressible in SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
