@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import brute
-from headway.llm import lempel_ziv, near_copies, simhash, suffixes
+from headway.llm import lempel_ziv, simhash, suffixes
 from headway.llm.vectors import leftmost_minima, range_hashes, window_hashes
 
 
@@ -62,35 +62,41 @@ def test_tree_finds_exactly_the_close_pairs():
     assert got == want
 
 
-def test_near_copies_by_similarity(spark, small):
-    from conftest import prose
+def kept_by_brute_force(rows, shingle, distance):
+    """Row numbers: of each component the row of the least id, a null one last."""
+    prints = [brute.fingerprint(t, shingle) for _, t in rows]
+    root = brute.least_linked(set(prints), lambda a, b: (a ^ b).bit_count() <= distance)
+    best = {}
+    for i, (doc, _) in enumerate(rows):
+        order = (doc is None, doc or 0)
+        if root[prints[i]] not in best or order < best[root[prints[i]]][0]:
+            best[root[prints[i]]] = (order, i)
+    return sorted(i for _, i in best.values())
+
 
-    rows = [(r.doc_id, r.text) for r in small.collect()]
-    for i in range(40):
-        w = prose(100 + i, 120).split()
-        rows.append((10_000 + 2 * i, " ".join(w)))
-        w[30] = "changed"
-        rows.append((10_001 + 2 * i, " ".join(w)))
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    sets = {d: brute.shingles(t) for d, t in rows}
-    want = brute.least_linked(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
-    got = {r.doc_id: r.group_id for r in near_copies.groups(frame).collect()}
-    assert all(want[d] == want[g] for d, g in got.items())  # clean documents are left alone
-    assert sum(got[d] != want[d] for d in want) <= 0.1 * sum(d != want[d] for d in want)
+def test_one_of_each_against_brute_force(spark, small, odd):
+    for frame in (small, odd):
+        rows = [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
+        kept = simhash.one_of_each(frame, shingle=3, distance=2)
+        assert kept.columns == frame.columns
+        want = [rows[i] for i in kept_by_brute_force(rows, 3, 2)]
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
 
 
-def test_one_of_each_keeps_rows_without_id(odd):
-    kept = near_copies.one_of_each(odd)
-    assert kept.columns == odd.columns
-    ids = sorted(r.doc_id or -1 for r in kept.collect())
-    assert ids == [-1, 1, 2, 3, 6, 8, 9, 10, 11, 12, 14, 15]  # 6 = 7 = 13's copies, empties are one group; 14 is no-break spaces, a word
+def test_one_of_each_goes_by_rows(spark):
+    from conftest import prose
+
+    t, u = prose(1, 60), prose(2, 60)
+    rows = [(1, t, "a"), (1, u, "a"), (2, u, "b"), (3, t, "c"), (None, prose(3, 60), "d"), (None, t, "e"), (4, "x y", "f"), (4, "x y", "f")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, row string"), shingle=3)
+    assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([rows[0], rows[1], rows[4], rows[6]], key=str)
 
 
 def test_empty_tables(empty):
     assert lempel_ziv.without_repeats(empty, 10).count() == 0
     assert suffixes.without_later_repeats(empty, 100).count() == 0
     assert simhash.near_duplicates(empty).count() == 0
-    assert near_copies.one_of_each(empty).count() == 0
+    assert simhash.one_of_each(empty).count() == 0
 
 
 def test_vector_primitives():
