@@ -15,10 +15,11 @@ are one node throughout.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from headway.llm.frames import components, written
 from headway.llm.vectors import mix, slices, window_hashes, word_hashes, words
@@ -27,7 +28,7 @@ from headway.llm.vectors import mix, slices, window_hashes, word_hashes, words
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Share of all possible shingles that is counted first, as a multiple of the share in which sets may differ.
-COUNTED = 4 / 3
+COUNTED = 5 / 3
 #: Sets and shingles of a block: bounds the memory of a search.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 20
 #: Sets of a group of several blocks that all its blocks share in the first round.
@@ -240,6 +241,25 @@ def _links(loose: DataFrame, texts: DataFrame, shingle: int, similarity: int) ->
     return first.union(_search(pairs, texts, shingle, similarity))
 
 
+@contextmanager
+def _filtered_joins(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Joins in which Spark drops rows of the large side by a Bloom filter of the other's keys.
+
+    The filter is sized for ``rows`` keys and never above Spark's bound of eight megabytes;
+    what it lets through is joined all the same, so it only saves shuffling.
+    """
+    name = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {"applicationSideScanSizeThreshold": "1m", "creationSideThreshold": "1t", "expectedNumItems": str(max(rows, 1))}
+    before = {key: spark.conf.get(name + key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(name + key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(name + key, value)
+
+
 def joined(docs: DataFrame, shingle: int = 4, similarity: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document of ``docs`` (doc_id, text).
 
@@ -265,7 +285,8 @@ def joined(docs: DataFrame, shingle: int = 4, similarity: int = 85) -> DataFrame
     asked = distinct.join(alone, "node", "left").filter(F.coalesce("alone", F.lit(0)) < reach)
     asked = written(asked.select("node", "n", F.col("text.doc_id").alias("doc"), "text.body"), "asked")
     same = docs["doc_id"].eqNullSafe(asked["doc"]) & (docs["body"] == asked["body"])
-    texts = written(docs.join(asked, same).select("node", "text").dropDuplicates(["node"]), "texts")
+    with _filtered_joins(docs.sparkSession, asked.count()):
+        texts = written(docs.join(asked.filter("n > 0"), same).select("node", "text").dropDuplicates(["node"]), "texts")
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # One exchange serves the count and the join.
