@@ -44,7 +44,8 @@ class PreviousPoll(_LastInstant):
     """Emits every distinct new poll with the one before it, both runs and the last quota error.
 
     Rows are polls, or quota errors (``is_poll`` false), which sort before a poll at the
-    same instant.  Polls no newer than the last one are late and emit nothing.
+    same instant.  Polls older than the last one are emitted as late, without moving it;
+    repeats of the last one emit nothing.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -60,8 +61,10 @@ class PreviousPoll(_LastInstant):
             if not is_poll:
                 quota = us if quota is None else max(quota, us)
             elif last is None or us > last:
-                yield self._row(key, prev_us=last, us=us, prev_run=run, run=own, quota_us=quota)
+                yield self._row(key, prev_us=last, us=us, prev_run=run, run=own, quota_us=quota, is_late=False)
                 last, run = us, own
+            elif us < last:
+                yield self._row(key, prev_us=last, us=us, prev_run=run, run=own, quota_us=quota, is_late=True)
         self._last.update((last, run, quota))
 
 
@@ -93,11 +96,13 @@ def _keyed(stream: DataFrame, keys: Sequence[str], columns: list[StructField]) -
 def detect_gaps_stream(polls: DataFrame, ts: str, keys: Sequence[str], poll_interval_s: float,
                        threshold_multiplier: float = 2.0, downtime_s: float = 600.0,
                        restart_reason: str = "duration", run_id: str | None = None,
-                       quota_errors: DataFrame | None = None) -> DataFrame:
+                       quota_errors: DataFrame | None = None, with_late: bool = False) -> DataFrame:
     """Gap rows of a poll stream, equal to the batch operator's on ordered input.
 
     ``restart_reason``, ``run_id`` and ``quota_errors`` (a stream with the same keys and
-    ``ts``) are as in the batch operator.
+    ``ts``) are as in the batch operator.  A poll older than the last one of its key is late:
+    the gap over its time is already told.  ``with_late`` adds a row, and the column
+    ``is_late``, for each of them, so that they can be counted.
     """
     check_gap_parameters(poll_interval_s, threshold_multiplier)
     if restart_reason not in ("duration", "downtime"):
@@ -107,7 +112,7 @@ def detect_gaps_stream(polls: DataFrame, ts: str, keys: Sequence[str], poll_inte
     keys = list(keys)
     schema = _keyed(polls, keys, [
         StructField("prev_us", LongType()), StructField("us", LongType()), StructField("prev_run", StringType()),
-        StructField("run", StringType()), StructField("quota_us", LongType())])
+        StructField("run", StringType()), StructField("quota_us", LongType()), StructField("is_late", BooleanType())])
     run = F.lit(None).cast("string") if run_id is None else F.col(run_id).cast("string")
     marks = polls.select(*keys, F.unix_micros(ts).alias("us"), F.lit(True).alias("is_poll"), run.alias("run"))
     if quota_errors is not None:
@@ -123,8 +128,9 @@ def detect_gaps_stream(polls: DataFrame, ts: str, keys: Sequence[str], poll_inte
         reason = quota if reason is None else F.coalesce(quota, reason)
     at = {"prev": F.timestamp_micros("prev_us"), "now": F.timestamp_micros("us")}
     fields = gap_fields(at["prev"], at["now"], poll_interval_s, threshold_multiplier, downtime_s, reason)
-    return linked.select(
-        *keys, at["now"].alias(ts), *[c.alias(n) for n, c in fields.items()]).filter("is_gap")
+    # A late poll lies before the last one: no gap.
+    told = linked.select(*keys, at["now"].alias(ts), *[c.alias(n) for n, c in fields.items()], "is_late")
+    return told.filter("is_gap OR is_late") if with_late else told.filter("is_gap").drop("is_late")
 
 
 def alerts_to_send_stream(candidates: DataFrame, keys: Sequence[str], ts: str,

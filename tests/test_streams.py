@@ -60,3 +60,14 @@ def test_poll_stream_partitions_by_own_service_day(spark, tmp_path):
         polls.append(good, "poll_timestamp", f"{out}/rows", f"{out}/check", interval=None).awaitTermination()
         rows = spark.read.parquet(f"{out}/rows")
         assert rows.count() == trains and rows.filter("year = 2026 and month = 1 and day = 14").count() == 1
+
+
+def test_late_polls_are_told_and_move_nothing(spark, tmp_path):
+    schema, source = "dataset string, ts timestamp", str(tmp_path / "in")
+    parts = [[("a", at(0)), ("a", at(100))], [("a", at(50)), ("a", at(100)), ("a", at(115)), ("b", at(7))], [("b", at(1)), ("a", at(400))]]
+    for part in parts:
+        land(spark, source, part, schema)
+        stream = spark.readStream.schema(schema).parquet(source)
+        got = drain(spark, detect_gaps_stream(stream, "ts", ["dataset"], 15, with_late=True), str(tmp_path / "out"))
+    shown = sorted((r.dataset, int(r.ts.timestamp()) - T0, r.is_late, r.is_gap) for r in got.collect())
+    assert shown == [("a", 50, True, False), ("a", 100, False, True), ("a", 400, False, True), ("b", 1, True, False)]

@@ -23,6 +23,12 @@ def gap_detect(spark, sf_dir):
         polls(spark, sf_dir).select("dataset", "poll_ts"), "poll_ts", ["dataset"], INTERVAL_S))
 
 
+def gap_busy_hours(spark, sf_dir):
+    """All users as one dataset, whose busy hours are cut by counted polls."""
+    source = polls(spark, sf_dir).withColumn("dataset", F.lit(0).cast("long"))
+    return _shown(detect_gaps(source, "poll_ts", ["dataset"], INTERVAL_S, most_rows=8))
+
+
 def gap_totals(spark, sf_dir):
     gaps = detect_gaps(polls(spark, sf_dir), "poll_ts", ["dataset"], INTERVAL_S)
     return daily_gap_summary(gaps, "poll_ts").withColumn(
@@ -79,7 +85,7 @@ def local_midnight(spark, sf_dir):
 def running_totals(spark, sf_dir):
     sums = {"polls": F.lit(1), "records": F.floor("value")}
     return with_running_sum(
-        events(spark, sf_dir), ["user_id"], "ts", sums, ties=["event_id"]
+        events(spark, sf_dir), ["user_id"], "ts", sums, ties=["event_id"], most_rows=4096
     ).select("event_id", "user_id", "polls", "records")
 
 
@@ -99,6 +105,7 @@ def volume_15min(spark, sf_dir):
 
 QUERIES = {
     "gap_detect": gap_detect,
+    "gap_busy_hours": gap_busy_hours,
     "gap_summary": gap_totals,
     "gap_by_dataset": gap_by_dataset,
     "missing_data_report": missing_data_report,
@@ -148,6 +155,7 @@ _DAY = _SERVICE_DAY.format(ts="poll")
 
 ORACLE = {
     "gap_detect": f"WITH {_gaps()} SELECT {_COLUMNS} FROM gaps",
+    "gap_busy_hours": f"WITH {_gaps('(SELECT 0::BIGINT AS user_id, ts FROM events)')} SELECT {_COLUMNS} FROM gaps",
     "gap_summary": f"""WITH {_gaps()} SELECT {_DAY} AS service_day, {_SUMS}
         FROM gaps WHERE is_gap GROUP BY 1""",
     "gap_by_dataset": f"WITH {_gaps()} SELECT dataset, {_SUMS} FROM gaps WHERE is_gap GROUP BY 1",

@@ -30,33 +30,30 @@ def _events(spark, sf_dir):
     return _stream(spark, sf_dir, "events").withColumn("ts", to_instant(C("ts")))
 
 
-def _taken(spark, stream):
-    """Run the stream over what is there and return the written table."""
-    out = work_dir(spark, "stream")
-    append_events(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
-
-
 def gap_stream(spark, sf_dir):
-    source = _events(spark, sf_dir).select(C("user_id").alias("dataset"), C("ts").alias("poll_ts"))
-    gaps = _taken(spark, detect_gaps_stream(source, "poll_ts", ["dataset"], gap_queries.INTERVAL_S))
-    return gaps.withColumn("poll_ts", epoch_seconds(C("poll_ts")))
+    return _in_turns(spark, sf_dir, lambda s: detect_gaps_stream(
+        _polls(s).select("dataset", "poll_ts"), "poll_ts", ["dataset"], gap_queries.INTERVAL_S))
+
 
+def _in_turns(spark, sf_dir, build, turns: int = 4, ts: str = "poll_ts", late=None):
+    """The events land in turns, by time; after each the stream takes what is new, from its saved state.
 
-def _in_turns(spark, sf_dir, build, turns: int = 4):
-    """The events land in turns, by time; after each the stream takes what is new, from its saved state."""
+    Rows for which ``late`` holds land a turn later.
+    """
     configure(spark)
     source = table(spark, sf_dir, "events").withColumn("ts", to_instant(C("ts")))
     ends = source.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     us = F.unix_micros("ts")
     lo, hi = (ends.select(F.unix_micros(c)).scalar() for c in ("lo", "hi"))
     part = F.floor((us - lo) * turns / (hi - lo + 1))
+    if late is not None:
+        part = part + late.cast("int")
     out = work_dir(spark, "turns")
-    for turn in range(turns):
+    for turn in range(turns + (late is not None)):
         source.filter(part == turn).write.mode("append").parquet(f"{out}/landed")
         stream = build(spark.readStream.schema(source.schema).parquet(f"{out}/landed"))
         append_events(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows").withColumn("poll_ts", epoch_seconds(C("poll_ts")))
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows").withColumn(ts, epoch_seconds(C(ts)))
 
 
 def _polls(stream):
@@ -128,10 +125,17 @@ def _table_events(spark, sf_dir):
 
 
 def cooldown_stream(spark, sf_dir):
-    source = _events(spark, sf_dir).select(
-        C("user_id").alias("key"), "ts", (C("event_type") == "error").alias("should_alert"))
-    sent = _taken(spark, alerts_to_send_stream(source, ["key"], "ts", health.COOLDOWN_S))
-    return sent.withColumn("ts", epoch_seconds(C("ts")))
+    return _in_turns(spark, sf_dir, lambda s: alerts_to_send_stream(
+        s.select(C("user_id").alias("key"), "ts", (C("event_type") == "error").alias("should_alert")),
+        ["key"], "ts", health.COOLDOWN_S), ts="ts")
+
+
+def late_polls(spark, sf_dir):
+    """Polls that land a turn later than others of their time, counted per dataset where that is late."""
+    told = _in_turns(spark, sf_dir, lambda s: detect_gaps_stream(
+        _polls(s).select("dataset", "poll_ts"), "poll_ts", ["dataset"], gap_queries.INTERVAL_S, with_late=True),
+        late=C("event_id") % 40 == 0)
+    return told.groupBy("dataset").agg(F.count_if("is_late").alias("late"), F.count_if("is_gap").alias("gaps"))
 
 
 def windowed_stream(spark, sf_dir):
@@ -172,6 +176,7 @@ QUERIES = {
     "position_stream": position_stream,
     "quota_gap_stream": quota_gap_stream,
     "restart_gap_stream": restart_gap_stream,
+    "late_polls": late_polls,
     "deduped_stream": deduped_stream,
     "stream_to_day": stream_to_day,
 }
@@ -183,6 +188,15 @@ ORACLE = {
         WHERE is_gap""",
     "quota_gap_stream": f"""WITH {gap_queries._gaps("(SELECT * FROM events WHERE event_type <> 'error')", quota=True)}
         SELECT {gap_queries._COLUMNS} FROM gaps WHERE is_gap""",
+    "late_polls": """WITH ends AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+        landed AS (SELECT DISTINCT user_id AS dataset, epoch_us(ts) AS us,
+            floor((epoch_us(ts) - lo) * 4 / (hi - lo + 1)) + (event_id % 40 = 0)::INTEGER AS turn FROM events, ends),
+        before AS (SELECT *, max(us) OVER (PARTITION BY dataset ORDER BY turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last
+                   FROM landed),
+        taken AS (SELECT *, lag(us) OVER (PARTITION BY dataset ORDER BY us) AS prev FROM before WHERE last IS NULL OR us > last),
+        gaps AS (SELECT dataset, count(*) AS gaps FROM taken WHERE us - prev > 240000000 GROUP BY 1),
+        late AS (SELECT dataset, count(*) AS late FROM before WHERE us < last GROUP BY 1)
+        SELECT dataset, coalesce(late, 0)::BIGINT AS late, coalesce(gaps, 0)::BIGINT AS gaps FROM late FULL JOIN gaps USING (dataset)""",
     "deduped_stream": "SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events",
     "stream_to_day": f"""WITH polls AS (SELECT event_id, event_type, value, make_timestamp(epoch_us(ts) // 10) AS poll_ts FROM events),
         days AS (SELECT *, {gap_queries._SERVICE_DAY.format(ts='poll_ts')} AS date FROM polls)
