@@ -227,7 +227,11 @@ def one_of_each(docs: DataFrame, shingle: int = 5, distance: int = 2) -> DataFra
     of = written(found.groupBy(F.col("doc_id").alias("__row"), "component_id").agg(F.count(F.lit(1)).alias("__times")), "components")
     ids = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("order")).distinct()
     first = F.min_by(F.struct("__row", "__times"), "order").alias("first")
-    stays = written(of.join(ids, "__row").groupBy("component_id").agg(first).select("first.*"), "stays")
-    alone = rows.join(stays.filter("__times = 1"), "__row", "left_semi")
-    repeated = rows.join(stays.filter("__times > 1"), "__row", "left_semi").dropDuplicates(["__row"])
+    stays = of.join(ids, "__row").groupBy("component_id").agg(first).select("first.*")
+    # Most rows stay, so the list of those that go is the short one; as a written table
+    # Spark knows its size.  Rows that repeat each other whole are on it and come back once.
+    listed = of.join(stays.filter("__times = 1"), "__row", "left_anti").select("__row")
+    listed = written(listed.join(stays.select("__row", F.lit(True).alias("__once")), "__row", "left"), "listed")
+    alone = rows.join(listed.select("__row"), "__row", "left_anti")
+    repeated = rows.join(listed.filter("__once").select("__row"), "__row", "left_semi").dropDuplicates(["__row"])
     return alone.union(repeated).drop("__row")
