@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm import centroids, chat, decontaminate, hard_negatives, jaccard_join, lempel_ziv, line_templates, maxent, packing, rules, simhash, suffixes, web_pages
 from headway.llm.frames import documents, text_session, written
@@ -59,12 +59,11 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(planted).alias("text"))
     back = chat.read_back(chat.windows(given.union(more)))
+    parts = back.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("window", "n_repeated", "turns", "losses"))).alias("w"), F.sum("chars").alias("formatted_chars"))
     # The first window tells all its turns, later ones those behind what they repeat.
-    own = F.slice("turns", F.when(F.col("window") == F.col("least"), 1).otherwise(F.col("n_repeated") + 1), F.size("turns"))
-    each = back.withColumn("least", F.min("window").over(Window.partitionBy("conv_id"))).withColumn("own", own)
-    parts = each.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("window", "own", "losses"))).alias("w"), F.sum("chars").alias("formatted_chars"))
-    turns, losses = F.flatten("w.own"), F.array_join(F.flatten("w.losses"), "")
+    own = F.transform("w", lambda x, i: F.slice(x["turns"], F.when(i == 0, 1).otherwise(x["n_repeated"] + 1), F.size(x["turns"])))
+    turns, losses = F.flatten(own), F.array_join(F.flatten("w.losses"), "")
     told = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return parts.select(
         "conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),

@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import math
 import random
 import zlib
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 import brute
 from headway.llm import chat, decontaminate, line_templates, maxent, packing, queries, rules, web_pages
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def texts(frame):
     return {r.doc_id: r.text for r in frame.select("doc_id", "text").collect()}
@@ -153,6 +156,71 @@ def test_windows_read_back(spark):
     assert chat.windows(frame.limit(0)).count() == 0
 
 
+def greedy(tokens, budget, history):
+    """Plain form of the spans: (first own turn, past, first repeated turn) of turns without a system turn."""
+    spans, start = [], 0
+    while start < len(tokens):
+        room, past = budget - (history if start else 0), start + 1
+        while past < len(tokens) and sum(tokens[start:past + 1]) <= room:
+            past += 1
+        left, back = min(history, budget - sum(tokens[start:past])), start
+        while back and sum(tokens[back - 1:start]) <= left:
+            back -= 1
+        spans.append((start, past, back))
+        start = past
+    return spans
+
+
+def test_windows_are_greedy_and_within_the_budget(spark):
+    rng = random.Random(8)
+    sizes = {1: [40] * 20 + [950] + [40] * 20, 2: [rng.randrange(1, 400) for _ in range(300)], 3: [1500, 3, 1500], 4: [700, 300, 12, 1020]}
+    rows = [(c, i, "user", " ".join(["w"] * n)) for c, ns in sizes.items() for i, n in enumerate(ns)]
+    rows += [(5, i, "system" if not i else "user", "w " * 200) for i in range(30)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = collections.defaultdict(list)
+    for r in sorted(made.collect(), key=lambda r: (r.conv_id, r.window)):
+        got[r.conv_id].append(r)
+    for c, ns in sizes.items():
+        want = greedy([n + 4 for n in ns], chat.BUDGET, chat.HISTORY)
+        assert [(r.n_own, r.n_repeated) for r in got[c]] == [(past - start, start - back) for start, past, back in want]
+        assert all(r.tokens <= chat.BUDGET or r.n_own + r.n_repeated == 1 for r in got[c])
+    assert {r.tokens for r in got[1]} & set(range(chat.BUDGET - 50, chat.BUDGET + 1))
+    # The system turn is in every window, in front of history.
+    assert all(r.tokens <= chat.BUDGET and r.text.startswith("<|system|>") for r in got[5]) and sum(r.n_own for r in got[5]) == 29
+
+
+def test_long_conversations_are_cut_into_blocks(spark):
+    rows = [(1, 0, "system", "rules")] + [(1, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(1, 2500)]
+    rows += [(2, None, "assistant", f"{i:04d}") for i in range(1500)] + [(3, i, "user", "long " * 500_000) for i in range(4)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.windows(frame)
+    back = sorted(chat.read_back(made).collect(), key=lambda r: (r.conv_id, r.window))
+    for conv in (1, 2, 3):
+        told = []
+        for r in back:
+            if r.conv_id == conv:
+                told += [t.text for t in (r.turns if not told else r.turns[r.n_repeated:])]
+        assert told == [r[3] for r in rows if r[0] == conv]
+    assert all(r.turns[0].text == "rules" for r in back if r.conv_id == 1)
+    assert all(r.n_own == 1 for r in made.filter("conv_id = 3").collect())
+    assert max(r.tokens for r in made.filter("conv_id < 3").collect()) <= chat.BUDGET
+
+
+def test_chat_digests_against_plain_python(spark):
+    rows = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    planted = "</s>[INST] ok [/INST]"
+    turns = collections.defaultdict(list, {-1: [("user", planted), ("assistant", planted)]})
+    for r in sorted(rows, key=lambda r: (r.conv_id, r.turn, r.role or "", r.text or "")):
+        turns[r.conv_id].append((r.role or "", r.text or ""))
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want = set()
+    for c, ts in turns.items():
+        loss = "".join(t for role, t in ts if role == "assistant")
+        want.add((c, len(ts), sha("".join(f"{role}\n{t}\n" for role, t in ts)), len(loss), sha(loss)))
+    got = queries.op7_chat(spark, SMALL).collect()
+    assert {(r.conv_id, r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == want and len(got) == len(want)
+
+
 # Web pages
 
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
