@@ -46,9 +46,8 @@ SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BI
 FROM docs d LEFT JOIN pieces p USING (doc_id)
 """
 
-_GRID = ", ".join(f"('{f}', {float(c)!r}::DOUBLE)" for f, cs in rules.GRID.items() for c in cs)
-_TESTS = sum(map(len, rules.GRID.values()))
-_P = rules.RISK / len(rules.GRID)
+_GRID = ", ".join(f"({i}, '{f}', {float(c)!r}::DOUBLE)" for f, cs in rules.GRID.items() for i, c in enumerate(cs))
+_P = rules.RISK
 _FEATURES = """unnest([{'feature': 'symbols_per_word', 'v': n_symbols / greatest(n_words, 1)},
     {'feature': 'dup_line_share', 'v': n_dup_lines / greatest(n_lines, 1)},
     {'feature': 'repeat_share', 'v': n_repeat_words / greatest(n_words, 1)},
@@ -68,18 +67,18 @@ m AS (SELECT doc_id, stratum, len(w)::BIGINT AS n_words, len(array_to_string(w,
              coalesce(c.n, 0)::BIGINT AS n_repeat_words FROM docs LEFT JOIN covered c USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1 AND max(quality) = 1),
-labelled AS (SELECT stratum, base_failed, {_FEATURES} AS f FROM judged JOIN good USING (doc_id)),
-strata AS (SELECT count(DISTINCT stratum) AS n FROM labelled),
-tested AS (SELECT stratum, g.feature, g.cutoff, count(*) FILTER (NOT base_failed) AS n,
-                  count(*) FILTER (NOT base_failed AND f.v > g.cutoff) AS k
-           FROM labelled JOIN (VALUES {_GRID}) AS g(feature, cutoff) ON f.feature = g.feature GROUP BY ALL),
-tails AS (SELECT stratum, feature, cutoff, k, n, (SELECT sum(exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0)
+labelled AS (SELECT doc_id, stratum, {_FEATURES} AS f FROM judged JOIN good USING (doc_id) WHERE NOT base_failed),
+grid AS (SELECT * FROM (VALUES {_GRID}) AS g(level, feature, cutoff)),
+over AS (SELECT doc_id, stratum, level, bool_or(f.v > cutoff) AS dropped FROM labelled JOIN grid ON f.feature = grid.feature GROUP BY ALL),
+tested AS (SELECT stratum, level, count(*) AS n, count(*) FILTER (dropped) AS k FROM over GROUP BY ALL),
+tails AS (SELECT stratum, level, k, n, (SELECT sum(exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0)
              + j * ln({_P!r}) + (n - j) * ln(1 - {_P!r}))) FROM unnest(generate_series(0, k)) AS s(j)) AS p
           FROM tested WHERE k < n * {_P!r}),
-rules AS (SELECT stratum, feature, min(cutoff) AS cutoff FROM tails
-          WHERE p <= {rules.DELTA!r} / ((SELECT n FROM strata) * {_TESTS}) GROUP BY ALL),
+rules AS (SELECT stratum, max(level) AS level FROM tails
+          WHERE p <= {rules.DELTA!r} * n / (SELECT sum(n) FROM tested WHERE level = 0) GROUP BY ALL),
 exceeding AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, stratum, {_FEATURES} AS f FROM judged) x
-              JOIN rules r ON r.stratum = x.stratum AND r.feature = x.f.feature WHERE x.f.v > r.cutoff)
+              JOIN rules r ON r.stratum = x.stratum JOIN grid g ON g.level = r.level AND g.feature = x.f.feature
+              WHERE x.f.v > g.cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM exceeding) AS kept
 FROM judged

@@ -1,10 +1,12 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Counts of every text give a few badness features.  For every stratum and feature a
-fixed grid of cutoffs is tested on the labelled good documents: a cutoff is accepted
-if an exact binomial test rejects, at a level corrected for all cutoffs, features and
-strata, that it drops more than the allowed share of good documents.  The sharpest
-accepted cutoff of each feature then applies to every document of the stratum.
+Counts of every text give a few badness features.  A fixed chain of levels, each with a
+cutoff per feature and sharper than the one before, is tested per stratum on the labelled
+good documents from the loosest level on: a level is accepted if an exact binomial test
+rejects that it drops more than the allowed share of good documents.  Levels are nested,
+so the first that fails ends the chain and no correction is needed inside it; strata share
+the chance of an error by their numbers of labels (weighted Bonferroni).  The sharpest
+accepted level then applies to every document of the stratum.
 """
 
 from __future__ import annotations
@@ -18,14 +20,13 @@ SPACES = " \t\n\x0b\x0c\r"
 RISK = 0.02
 #: Chance that any stratum's accepted rules break that promise.
 DELTA = 0.05
-#: Cutoffs, as fixed values: reject above.  The grid does not look at the data, so the
-#: correction covers it.
+#: The chain, as fixed values: reject above, loosest level first.  It does not look at the data.
 GRID = {
-    "symbols_per_word": [0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.8, 1.2],
-    "dup_line_share": [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.8],
-    "repeat_share": [0.1, 0.2, 0.3, 0.4],
-    "long_words": [6.5, 7.0, 7.5, 8.0, 9.0, 10.0, 12.0],
-    "short_words": [-5.5, -5.0, -4.5, -4.0, -3.5, -3.0, -2.5],
+    "symbols_per_word": [1.2, 0.8, 0.5, 0.3, 0.2, 0.1, 0.05, 0.02],
+    "dup_line_share": [0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1],
+    "repeat_share": [0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1],
+    "long_words": [12.0, 11.0, 10.0, 9.0, 8.0, 7.5, 7.0, 6.5],
+    "short_words": [-2.5, -3.0, -3.25, -3.5, -3.75, -4.0, -4.5, -5.0],
 }
 
 
@@ -122,28 +123,32 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * F.lit(p), 1.0).otherwise(F.exp(top) * total)
 
 
-def cutoffs(labelled: DataFrame, stratum: str, risk: float = RISK, delta: float = DELTA,
-            grid: dict[str, list[float]] | None = None) -> DataFrame:
-    """Accepted rules: (stratum, feature, cutoff), the sharpest accepted cutoff per feature.
+def accepted(labelled: DataFrame, stratum: str, risk: float = RISK, delta: float = DELTA,
+             grid: dict[str, list[float]] | None = None) -> DataFrame:
+    """(stratum, level): the sharpest accepted level, from 0, of the strata that have one.
 
     ``labelled``: measured good documents; those that fail the base rules are not counted.
-    The risk is split evenly over the features of
-    a stratum, so that all rules together stay within it, and ``delta`` over all tests
-    (Bonferroni): strata x features x cutoffs.
+    With chance 1 - ``delta`` no stratum's level drops more than ``risk`` of its good
+    documents.  A stratum with n of all N labels has ``delta`` * n / N of the chance and needs
+    ln(delta * n / N) / ln(1 - risk) labels at least: about 220 with four equal strata.
     """
     grid = grid or GRID
-    tests = sum(map(len, grid.values()))
-    share = risk / len(grid)
-    good = labelled.select(stratum, base_failed().alias("failed"), *(c.alias(f) for f, c in features().items()))
-    dropped = {f"{f}|{i}": F.count_if(~F.col("failed") & (F.col(f) > c)) for f, cs in grid.items() for i, c in enumerate(cs)}
-    counted = good.groupBy(stratum).agg(F.count_if(~F.col("failed")).alias("n"), *(c.alias(n) for n, c in dropped.items()))
-    rows = F.array(*(F.struct(F.lit(f).alias("feature"), F.lit(float(c)).alias("cutoff"), F.col(f"{f}|{i}").alias("k"))
-                     for f, cs in grid.items() for i, c in enumerate(cs)))
-    strata = counted.select(F.count("*")).scalar()
-    long = counted.select(stratum, "n", F.explode(rows).alias("t")).select(stratum, "n", "t.*")
-    level = F.lit(delta) / (strata * tests)
-    return (long.filter(binomial_tail(F.col("k").cast("double"), F.col("n").cast("double"), share) <= level)
-            .groupBy(stratum, "feature").agg(F.min("cutoff").alias("cutoff")))
+    levels = range(len(next(iter(grid.values()))))
+    good = labelled.filter(~base_failed()).select(stratum, *(c.alias(f) for f, c in features().items()))
+
+    def exceeds(level: int) -> Column:
+        over = F.lit(False)
+        for name, cuts in grid.items():
+            over = over | (F.col(name) > cuts[level])
+        return over
+
+    counted = good.groupBy(stratum).agg(F.count("*").alias("n"), *(F.count_if(exceeds(i)).alias(f"k{i}") for i in levels))
+    total = counted.select(F.sum("n")).scalar()
+    tests = F.array(*(F.struct(F.lit(i).alias("level"), F.col(f"k{i}").alias("k")) for i in levels))
+    # Fewer dropped never has the larger tail, so the accepted levels are the first ones of the chain.
+    return (counted.select(stratum, "n", F.explode(tests).alias("t"))
+            .filter(binomial_tail(F.col("t.k").cast("double"), F.col("n").cast("double"), risk) <= F.lit(delta) * F.col("n") / total)
+            .groupBy(stratum).agg(F.max("t.level").alias("level")))
 
 
 def learned(measures: DataFrame, labels: DataFrame, stratum: str = "lang", **how) -> DataFrame:
@@ -156,7 +161,9 @@ def learned(measures: DataFrame, labels: DataFrame, stratum: str = "lang", **how
     clear = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
              .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = 1 and other = 1").select("doc_id"))
     good = measures.withColumn("stratum", _stratum(stratum)).join(clear, "doc_id")
-    return cutoffs(good, "stratum", **how).groupBy("stratum").pivot("feature", list(GRID)).agg(F.min("cutoff"))
+    grid = how.get("grid") or GRID
+    return accepted(good, "stratum", **how).select(
+        "stratum", *(F.get(F.array(*map(F.lit, cuts)), F.col("level")).alias(f) for f, cuts in grid.items()))
 
 
 def _stratum(name: str) -> Column:
@@ -167,7 +174,7 @@ def judged(measures: DataFrame, rules: DataFrame, stratum: str = "lang") -> Data
     """Measured documents with ``base_failed`` and ``kept``.
 
     A document is dropped if it fails the base rules (under 50 words, or over half of them
-    in repeated three-word windows) or exceeds an accepted cutoff of its stratum.  Strata
+    in repeated three-word windows) or exceeds a cutoff of its stratum's accepted level.  Strata
     without enough labelled good documents have no rules and drop nothing more.  A null
     text has no words and fails; a null stratum is the stratum of the empty text.  Empty
     tables give empty results.  Rows are judged one by one, never merged.

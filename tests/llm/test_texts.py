@@ -79,6 +79,25 @@ def test_accepted_rules_drop_few_good_documents(spark, odd, empty):
     assert rules.judged(m, rules.learned(m, labels.limit(0))).count() == 0
 
 
+def test_levels_against_a_plain_chain(spark):
+    rng = random.Random(11)
+    share = {"big": 0.002, "mid": 0.004, "loose": 0.2, "few": 0.0}
+    size = {"big": 3000, "mid": 900, "loose": 900, "few": 100}
+    rows = [(s, 100, 500, rng.choice([0, 0, 3, 15, 40, 90]) if rng.random() < 5 * share[s] else 0, 0, 10, 0) for s in size for _ in range(size[s])]
+    rows += [("big", 10, 50, 99, 0, 1, 0)] * 500  # fails the base rules and counts for nothing
+    frame = spark.createDataFrame(rows, "s string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long")
+    got = {r.s: r.level for r in rules.accepted(frame, "s").collect()}
+    want = {}
+    for s, n in size.items():
+        for level, cut in enumerate(rules.GRID["symbols_per_word"]):
+            k = sum(r[0] == s and r[1] >= 50 and (r[3] / 100 > cut or -5.0 > rules.GRID["short_words"][level]) for r in rows)
+            tail = sum(math.comb(n, i) * 0.02 ** i * 0.98 ** (n - i) for i in range(k + 1)) if k < 0.02 * n else 1
+            if tail > 0.05 * n / sum(size.values()):
+                break
+            want[s] = level
+    assert got == want and {"big", "mid"} <= set(want) and "few" not in want and want.get("loose", -1) < want["big"]
+
+
 # Packing
 
 def test_pieces_are_the_tokenizers_ids(odd):
