@@ -4,9 +4,10 @@ Words become a template: numbers, units after numbers and names (capitalised wor
 within a sentence) turn into typed placeholders, other words lose case and outer
 punctuation.  A capital that opens a text, line or sentence tells no name from another
 word, so there are two readings, with openers as words and as names.  Windows of the
-benchmark's templates are looked up in all documents, and the concrete values behind
-the placeholders must map one to one; windows with little but placeholders are looked
-up by their literal words.
+benchmark's templates are looked up in all documents.  Matches of one alignment, or of
+near ones that ascend together where words were put in or left out, form a chain, and the
+concrete values behind its placeholders must map one to one; windows with little but
+placeholders are looked up by their literal words.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from headway.llm.frames import written
 from headway.llm.vectors import mix, slices, window_hashes, word_hashes, words
@@ -25,6 +26,8 @@ from headway.llm.vectors import mix, slices, window_hashes, word_hashes, words
 WINDOW = 8
 #: Least part of an item's windows that a document must hold.
 SHARE = 0.5
+#: Words by which the alignments of one chain may lie apart from its middle: words put in or left out.
+BAND = 16
 #: Benchmark windows looked up at once: more are looked up block after block.
 BLOCK = 1 << 20
 #: Names of units, as fixed values.
@@ -216,20 +219,50 @@ def _hits(hashes: np.ndarray, kinds: list[tuple[int, int]]):
 HIT = "doc_id long, place long, hash long, size long, shown array<long>"
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE, block: int = BLOCK) -> DataFrame:
+def _chains(aligned: DataFrame, share: float, band: int) -> DataFrame:
+    """(doc_id, item_id, n_windows, windows, slots) of chains over several alignments of a pair.
+
+    Around each alignment those up to ``band`` words away are followed together: from window
+    to window of the item, the match nearest to the middle that lies behind the last one is
+    taken.  Only pairs whose alignments could reach the share together are looked at.
+    """
+    pair = Window.partitionBy("doc_id", "item_id", "way")
+    possible = (aligned.withColumns({"all": F.sum("n_windows").over(pair), "alignments": F.count("*").over(pair)})
+                .filter((F.col("alignments") > 1) & (F.col("all") >= F.col("windows") * F.lit(share))))
+    near = possible.withColumn("near", F.collect_list(F.struct("shift", "hits")).over(pair.orderBy("shift").rangeBetween(-band, band)))
+    hits = F.flatten(F.transform("near", lambda a: F.transform(a["hits"], lambda h: F.struct(
+        h["at"].alias("at"), F.abs(a["shift"] - F.col("shift")).alias("off"), (h["at"] + a["shift"]).alias("place"), h["slots"].alias("slots")))))
+    least = F.lit(-1 << 62)
+
+    def step(acc, h):
+        follows = (h["at"] > acc["at"]) & (h["place"] > acc["place"])
+        return F.when(follows, F.struct(
+            h["at"].alias("at"), h["place"].alias("place"), (acc["n"] + 1).alias("n"),
+            F.array_union(acc["slots"], h["slots"]).alias("slots"))).otherwise(acc)
+
+    start = F.struct(least.alias("at"), least.alias("place"), F.lit(0).cast("long").alias("n"),
+                     F.array().cast("array<struct<item:bigint,doc:bigint>>").alias("slots"))
+    chained = near.filter(F.size("near") > 1).withColumn("chain", F.aggregate(F.array_sort(hits), start, step))
+    return chained.select("doc_id", "item_id", F.col("chain.n").alias("n_windows"), "windows", F.col("chain.slots").alias("slots"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE, block: int = BLOCK,
+          band: int = BAND) -> DataFrame:
     """Documents that hold a benchmark item, literally or with other numbers, names and units.
 
     (doc_id, item_id, n_windows: matching windows of the item, share: of its windows,
-    literal: no slot has another value).  A pair counts if, at one alignment (document
-    place minus item place) and in one reading, at least ``share`` of the item's template
-    windows match and the slots are consistent: each value of the item stands for one
-    value of the document and back.  Words that open a text, line or sentence with a
+    literal: no slot has another value).  A pair counts if, in one reading, at least ``share``
+    of the item's template windows match and the slots are consistent: each value of the item
+    stands for one value of the document and back.  The windows match at one alignment
+    (document place minus item place), or in a chain over alignments up to ``band`` words to
+    either side of one, along which item and document places both ascend; so items with words
+    put in or left out are found.  Words that open a text, line or sentence with a
     capital are words in one reading and names in another; in a third, windows of more
-    than half slots count too and match by their literal words.  An item shorter than ``window`` is one window; an item without words, or a
-    null text, never matches.  Repeated rows of the benchmark or of the documents count
-    once; null ids are kept as an id of their own.  Further columns are ignored.  The
-    benchmark's windows are looked up in blocks of ``block`` windows, so that what tasks
-    receive is bounded for any benchmark.
+    than half slots count too and match by their literal words.  An item shorter than
+    ``window`` is one window; an item without words, or a null text, never matches.  Repeated
+    rows of the benchmark or of the documents count once; null ids are kept as an id of their
+    own.  Further columns are ignored.  The benchmark's windows are looked up in blocks of
+    ``block`` windows, so that what tasks receive is bounded for any benchmark.
     """
     spark = docs.sparkSession
     asked = written(benchmark_windows(benchmark.select("item_id", "text").distinct(), window), "benchmark")
@@ -250,17 +283,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
     pairs = (hit.join(asked, ["hash", "size"])
              .withColumn("shift", F.col("place") - F.col("at"))
              .withColumn("slots", F.filter(F.arrays_zip(F.col("values").alias("item"), F.col("shown").alias("doc")), lambda s: s["item"] != 0)))
-    # What each way to read an alignment counts: windows, out of how many, and their slots.
+    # What each way to read an alignment counts: windows with their slots, out of how many.
     ways = []
     for name, of, out_of in (("words", [WORDS_OPEN], "windows"), ("names", [NAMES_OPEN], "windows"), ("all", [WORDS_OPEN, LITERAL], "total")):
         here = F.col("reading").isin(of)
-        ways.append((F.collect_set(F.when(here, F.col("at"))).alias(f"{name}_at"), F.max(F.when(here, F.col(out_of))).alias(f"{name}_of"),
-                     F.collect_set(F.when(here, F.col("slots"))).alias(f"{name}_slots")))
-    read = F.array(*(F.struct(F.size(f"{n}_at").cast("long").alias("n_windows"), F.col(f"{n}_of").alias("windows"),
-                              F.array_distinct(F.flatten(f"{n}_slots")).alias("slots")) for n in ("words", "names", "all")))
-    # Consistency: at one alignment, as many distinct pairs as item values and as document values.
-    return (pairs.groupBy("doc_id", "item_id", "shift").agg(*(c for way in ways for c in way))
-            .select("doc_id", "item_id", F.explode(read).alias("read")).select("doc_id", "item_id", "read.*")
+        ways.append((F.collect_set(F.when(here, F.struct("at", "slots"))).alias(f"{name}_hits"), F.max(F.when(here, F.col(out_of))).alias(f"{name}_of")))
+    read = F.array(*(F.struct(F.lit(n).alias("way"), F.col(f"{n}_hits").alias("hits"), F.col(f"{n}_of").alias("windows")) for n in ("words", "names", "all")))
+    aligned = (pairs.groupBy("doc_id", "item_id", "shift").agg(*(c for way in ways for c in way))
+               .select("doc_id", "item_id", "shift", F.explode(read).alias("read")).select("doc_id", "item_id", "shift", "read.*")
+               .filter(F.size("hits") > 0).withColumn("n_windows", F.size(F.array_distinct("hits.at")).cast("long")))
+    single = aligned.select("doc_id", "item_id", "n_windows", "windows", F.array_distinct(F.flatten("hits.slots")).alias("slots"))
+    # Consistency: as many distinct pairs as item values and as document values.
+    return (single.unionByName(_chains(aligned, share, band))
             .filter(F.col("n_windows") >= F.col("windows") * F.lit(share))
             .filter((F.size(F.array_distinct("slots.item")) == F.size("slots")) & (F.size(F.array_distinct("slots.doc")) == F.size("slots")))
             .withColumn("literal", F.forall("slots", lambda s: s["item"] == s["doc"]))
