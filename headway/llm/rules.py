@@ -20,7 +20,7 @@ SPACES = " \t\n\x0b\x0c\r"
 RISK = 0.02
 #: Chance that any stratum's accepted rules break that promise.
 DELTA = 0.05
-#: The chain, as fixed values: reject above, loosest level first.  It does not look at the data.
+#: The chain, as fixed values: reject above, loosest level first; the same for any input.
 GRID = {
     "symbols_per_word": [1.2, 0.8, 0.5, 0.3, 0.2, 0.1, 0.05, 0.02],
     "dup_line_share": [0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1],
