@@ -13,6 +13,8 @@ from headway.session import written
 # The WGS-84 ellipsoid (semi-major axis in metres, flattening).
 SEMI_MAJOR_M = 6378137.0
 FLATTENING = 1 / 298.257223563
+#: How often the first reach of a search may be halved.
+FINEST = 16
 
 
 def metres_per_degree(latitude: float) -> tuple[float, float]:
@@ -88,11 +90,12 @@ def snap(points: DataFrame, track_legs: DataFrame, keys: Sequence[str], latitude
     """Every point on the nearest track of its own line, exactly, with its linear reference.
 
     ``keys`` tell points apart (the line is one of them or follows from them).  Legs lie
-    in the cells of a grid and in the cells around, so a point meets the legs near it by an
-    equi-join on (line, cell).  A leg found within one cell width is the nearest of all;
-    the other points look again in a grid of twice the width, and what is further
-    away than ``grid_m`` * 2^(levels - 1) meets all legs of its line.  Ties go to the least
-    segment and leg.  Returns the columns of ``points`` and segment, leg, snapped_lat,
+    in the cells of a grid that they reach into, so a point meets the legs near it by an
+    equi-join on (line, cell).  A leg found within the reach is the nearest of all; the other
+    points look again with twice the reach, and what is further away than ``grid_m`` *
+    2^(levels - 1) meets all legs of its line.  The first reach is ``grid_m``, or a finer one
+    where so many legs lie that points and legs meet more cheaply there.  Neither table is
+    broadcast.  Ties go to the least segment and leg.  Returns the columns of ``points`` and segment, leg, snapped_lat,
     snapped_lon, off_m, along_m, total_m; with ``heading`` (degrees clockwise from north)
     also forward (runs from the start of the segment) and share (of the segment travelled
     in that direction).  Points without coordinates or on a line without legs have NULLs.
@@ -101,19 +104,23 @@ def snap(points: DataFrame, track_legs: DataFrame, keys: Sequence[str], latitude
     own = [*keys, *([] if line in keys else [line])]
     left = points.select(*own, (F.col(lon) * east).alias("__x"), (F.col(lat) * north).alias("__y")).filter(
         "__x IS NOT NULL AND __y IS NOT NULL AND NOT isnan(__x) AND NOT isnan(__y)")
+    # Of legs that lie alike the least is nearest whenever they are.
+    place = [line, "ax", "ay", "bx", "by"]
+    rest = [segment, "leg", "from_m", "length_m", "total_m"]
+    track_legs = written(track_legs.groupBy(*place).agg(F.min(F.struct(*rest)).alias("__least")).select(*place, "__least.*"), "legs")
     sure = []
-    for level in range(levels):
-        width = F.lit(grid_m * 2 ** level)
-        here = left.withColumns({"__cx": F.floor(F.col("__x") / width), "__cy": F.floor(F.col("__y") / width)})
-        cells = _cells(track_legs, grid_m * 2 ** level)
-        near = written(_nearest(here.join(cells, [line, "__cx", "__cy"], "left"), own, segment), "snapped")
-        is_sure = F.coalesce(F.col("__best.d2") <= width * width, F.lit(False))
+    for level in range(_first_level(left, track_legs, line, grid_m), levels):
+        reach = grid_m * 2.0 ** level
+        cells = _cells(track_legs, reach).hint("merge")
+        near = written(_nearest(_in_cells(left, reach).join(cells, [line, "__cx", "__cy"], "left"), own, segment), "snapped")
+        is_sure = F.coalesce(F.col("__best.d2") <= F.lit(reach * reach), F.lit(False))
         sure.append(near.filter(is_sure).select(*own, "__best"))
         left = near.filter(~is_sure).select(*own, "__x", "__y")
         if left.isEmpty():
             break
-    rest = _nearest(left.join(track_legs, line), own, segment).select(*own, "__best")
-    found = reduce(DataFrame.unionByName, sure, rest)
+    else:
+        sure.append(_nearest(left.join(track_legs.hint("merge"), line), own, segment).select(*own, "__best"))
+    found = reduce(DataFrame.unionByName, sure)
     b = F.col("__best")
     along = b["from_m"] + b["t"] * b["length_m"]
     shown = {segment: b[segment], "leg": b["leg"], "snapped_lat": b["py"] / north, "snapped_lon": b["px"] / east,
@@ -127,12 +134,43 @@ def snap(points: DataFrame, track_legs: DataFrame, keys: Sequence[str], latitude
     return points.join(found, own, "left").withColumns(shown).drop("__best")
 
 
-def _cells(track_legs: DataFrame, width: float) -> DataFrame:
-    """Legs by the cells that they may lie in and the cells around these.
+def _in_cells(points: DataFrame, reach: float) -> DataFrame:
+    """Points with their cell; cells are twice the reach wide."""
+    return points.withColumns({c: F.floor(F.col(x) / F.lit(2 * reach)) for c, x in (("__cx", "__x"), ("__cy", "__y"))})
 
-    A long leg is cut into pieces of four widths, so that its bounding boxes stay narrow.
+
+def _first_level(points: DataFrame, track_legs: DataFrame, line: str, grid_m: float) -> int:
+    """0, or less by one for each halving of the reach that leaves fewer rows to join.
+
+    These are the legs' rows, one per cell, and the pairs of a point and a leg in its cell.
     """
-    pieces = F.greatest(F.ceil(F.col("length_m") / (4 * width)), F.lit(1)).cast("int")
+    def rows(level: int) -> int:
+        reach, at = grid_m * 2.0 ** level, [line, "__cx", "__cy"]
+        legs_in = _cells(track_legs, reach).groupBy(*at).agg(F.count("*").alias("__legs"))
+        points_in = _in_cells(points, reach).groupBy(*at).agg(F.count("*").alias("__points"))
+        each = legs_in.join(points_in.hint("merge"), at, "left")
+        return each.agg(F.sum(F.col("__legs") * (F.coalesce("__points", F.lit(0)) + 1))).first()[0] or 0
+
+    level, now = 0, rows(0)
+    while level > -FINEST:
+        finer = rows(level - 1)
+        if finer >= now:
+            break
+        level, now = level - 1, finer
+    return level
+
+
+def _cells(track_legs: DataFrame, reach: float) -> DataFrame:
+    """Legs by the cells that hold points within their reach, and a few more cells.
+
+    Cells are twice the reach wide.  A leg's cells are those with their middle within the
+    reach and half a diagonal.  A long leg is cut into pieces of two cells, so that the boxes in which its
+    cells are sought stay narrow; the piece nearest to the middle has the cell.
+    """
+    width = 2 * reach
+    # A hair wider, for the rounding of the cut.
+    apart = F.lit((reach + width * math.sqrt(0.5)) * (1 + 1e-6))
+    pieces = F.greatest(F.ceil(F.col("length_m") / (2 * width)), F.lit(1)).cast("int")
     cut = track_legs.withColumn("__n", pieces).withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
 
     def at(a: str, b: str, i: Column) -> Column:
@@ -140,9 +178,14 @@ def _cells(track_legs: DataFrame, width: float) -> DataFrame:
 
     def cells(a: str, b: str) -> Column:
         ends = at(a, b, F.col("__i")), at(a, b, F.col("__i") + 1)
-        # A hair wider, for the rounding of the cut.
-        lo, hi = F.least(*ends) - F.lit(1e-6 * width), F.greatest(*ends) + F.lit(1e-6 * width)
-        return F.sequence(F.floor(lo / F.lit(width)) - 1, F.floor(hi / F.lit(width)) + 1)
+        return F.sequence(F.floor((F.least(*ends) - apart) / width), F.floor((F.greatest(*ends) + apart) / width))
 
     spread = cut.withColumn("__cx", F.explode(cells("ax", "bx"))).withColumn("__cy", F.explode(cells("ay", "by")))
-    return spread.drop("__n", "__i").distinct()
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    offx, offy = (F.col("__cx") + 0.5) * width - F.col("ax"), (F.col("__cy") + 0.5) * width - F.col("ay")
+    square = dx * dx + dy * dy
+    t = F.when(square > 0, F.least(F.greatest((offx * dx + offy * dy) / square, F.lit(0.0)), F.lit(1.0))).otherwise(F.lit(0.0))
+    told = spread.withColumns({"__t": t, "__offx": offx - t * dx, "__offy": offy - t * dy})
+    near = F.col("__offx") * F.col("__offx") + F.col("__offy") * F.col("__offy") <= apart * apart
+    mine = F.least(F.floor(F.col("__t") * F.col("__n")), F.col("__n") - 1) == F.col("__i")
+    return told.filter(near & mine).drop("__n", "__i", "__t", "__offx", "__offy")

@@ -224,3 +224,55 @@ def test_snap_plan_has_no_cross_join(spark):
     points = spark.createDataFrame([(1, 1, 41.8, -87.05)], "id long, line long, lat double, lon double")
     plan = tracks.snap(points, legs, ["id"], 41.8)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def _dense(spark, n=400, size=3000, length=500):
+    rng = random.Random(9)
+    north, east = tracks.metres_per_degree(41.8)
+    given = []
+    for segment in range(n):
+        x, y = rng.uniform(0, size), rng.uniform(0, size)
+        to = x + rng.uniform(-length, length), y + rng.uniform(-length, length)
+        given.append((segment, 1, [[[x / east, y / north], [to[0] / east, to[1] / north]]]))
+    legs = tracks.legs(spark.createDataFrame(given, "segment_id long, line long, coordinates array<array<array<double>>>"), 41.8)
+    points = spark.createDataFrame([(i, 1, rng.uniform(0, size) / north, rng.uniform(0, size) / east) for i in range(500)],
+                                   "id long, line long, lat double, lon double")
+    return points, legs
+
+
+def test_snap_broadcasts_no_legs(spark, monkeypatch):
+    points, legs = _dense(spark)
+    plans, kept = [], tracks.written
+
+    def seen(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, purpose)
+
+    monkeypatch.setattr(tracks, "written", seen)
+    assert tracks.snap(points, legs, ["id"], 41.8).filter("segment_id is null").count() == 0
+    assert plans and not any("Broadcast" in plan for plan in plans)
+
+
+def test_dense_legs_have_a_finer_grid(spark):
+    points, legs = _dense(spark)
+    north, east = tracks.metres_per_degree(41.8)
+    left = points.select("id", "line", (F.col("lon") * east).alias("__x"), (F.col("lat") * north).alias("__y"))
+    assert tracks._first_level(left, legs, "line", 1000.0) < 0
+    assert tracks._first_level(left.limit(0), legs, "line", 1000.0) == 0
+    got = tracks.snap(points, legs, ["id"], 41.8, grid_m=1000.0)
+    want = tracks.snap(points, legs, ["id"], 41.8, grid_m=1e6)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("reach", [15.0, 90.0, 700.0])
+def test_cells_hold_all_legs_within_reach(spark, reach):
+    points, legs = _dense(spark, n=40)
+    cells = [(r.segment_id, r["__cx"], r["__cy"]) for r in tracks._cells(legs, reach).collect()]
+    assert len(cells) == len(set(cells))
+    rng, held = random.Random(10), set(cells)
+    for leg in legs.collect():
+        for _ in range(100):  # points as far from the leg as it reaches
+            t, turn = rng.random(), rng.uniform(0, 2 * math.pi)
+            x = leg.ax + t * (leg.bx - leg.ax) + 0.999 * reach * math.cos(turn)
+            y = leg.ay + t * (leg.by - leg.ay) + 0.999 * reach * math.sin(turn)
+            assert (leg.segment_id, math.floor(x / (2 * reach)), math.floor(y / (2 * reach))) in held
