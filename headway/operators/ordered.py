@@ -289,21 +289,26 @@ def with_earliest_within(df: DataFrame, keys: Sequence[str], ts: str, values: Ma
     """Columns of the earliest row of the key in the ``seconds`` before each row, itself included.
 
     Buckets are at least as long as the window, so a copy of the rows at the end of the
-    bucket before is all that a bucket needs; every row is shuffled at most twice.  The
-    frame holds the rows of one key in the window: bounded by the poll rate.
+    bucket before is all that a bucket needs.  Each row asks at the start of its window; one
+    scan of the bucket backwards in time carries the earliest row seen so far to the asks, so
+    that the work grows with the rows and not with those in a window.
     """
     keys, width = list(keys), max(bucket_seconds or 0, seconds)
-    row = F.struct(F.unix_micros(F.col(ts)).alias("__at"), *ties, *[F.col(c).alias(f"__v_{n}") for n, c in values.items()])
-    rows = df.withColumns({_BUCKET: time_bucket(F.col(ts), width), _SEED: F.lit(1), _VALUE: row})
-    left = F.unix_micros(F.col(ts)) - F.col(_BUCKET) * F.lit(width * 1_000_000)
-    copies = (rows.filter(left >= F.lit((width - seconds) * 1_000_000))
-              .select(*keys, ts, (F.col(_BUCKET) + 1).alias(_BUCKET), F.lit(0).alias(_SEED), _VALUE))
-    frame = (Window.partitionBy(*keys, _BUCKET).orderBy(F.col("__us"))
-             .rangeBetween(-seconds * 1_000_000, Window.currentRow))
-    out = (rows.unionByName(copies, allowMissingColumns=True).withColumn("__us", F.unix_micros(F.col(ts)))
-           .withColumn("__earliest", F.min(_VALUE).over(frame)).drop("__us"))
+    us = F.unix_micros(F.col(ts))
+    row = F.struct(us.alias("__at"), *ties, *[F.col(c).alias(f"__v_{n}") for n, c in values.items()])
+    rows = df.withColumns({_BUCKET: time_bucket(F.col(ts), width), "__us": us})
+    seen = rows.select(*keys, _BUCKET, "__us", row.alias(_VALUE))
+    left = F.col("__us") - F.col(_BUCKET) * F.lit(width * 1_000_000)
+    copies = (seen.filter(left >= F.lit((width - seconds) * 1_000_000))
+              .withColumn(_BUCKET, F.col(_BUCKET) + 1))
+    asks = rows.withColumns({"__us": F.col("__us") - seconds * 1_000_000, _SEED: F.lit(1)})
+    # At one instant rows come before asks, the least of them last.
+    back = (Window.partitionBy(*keys, _BUCKET).orderBy(F.desc("__us"), _SEED, F.desc(_VALUE))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = (_seeded(asks, seen.unionByName(copies))
+           .withColumn("__earliest", F.last(_VALUE, ignorenulls=True).over(back)))
     out = out.withColumns({n: F.col("__earliest").getField(f"__v_{n}") for n in values})
-    return _finish(out.drop("__earliest"))
+    return _finish(out.drop("__earliest", "__us"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -276,3 +276,22 @@ def test_cells_hold_all_legs_within_reach(spark, reach):
             x = leg.ax + t * (leg.bx - leg.ax) + 0.999 * reach * math.cos(turn)
             y = leg.ay + t * (leg.by - leg.ay) + 0.999 * reach * math.sin(turn)
             assert (leg.segment_id, math.floor(x / (2 * reach)), math.floor(y / (2 * reach))) in held
+
+
+@pytest.mark.parametrize("seconds, bucket", [(60, None), (300, 900)])
+def test_earliest_within_scans_once(spark, seconds, bucket):
+    rng = random.Random(11)
+    rows = [(rng.choice(("a", "a", "b", None)), T0 + timedelta(seconds=rng.randrange(0, 2400, 20)), n, None, rng.choice((None, 1.0, 2.0)))
+            for n in range(600)] + [("a", None, 600, None, 1.0), ("a", None, 601, None, None)]
+    got = ordered.with_earliest_within(spark.createDataFrame(rows, ROWS), ["run"], "ts", {"first": "v", "since": "ts"},
+                                       seconds, bucket_seconds=bucket)
+    assert got.columns == ["run", "ts", "n", "station", "v", "first", "since"]
+    # A frame by range would visit the rows in the window of every row.
+    assert "RangeFrame" not in got._jdf.queryExecution().executedPlan().toString()
+    shown = {r.n: (r.since, r.first) for r in got.collect()}
+    assert len(shown) == len(rows)
+    order = lambda r: (r[1] or T0, r[4] is not None, r[4] or 0)
+    for run, ts, n, _, _ in rows:
+        inside = [r for r in rows if r[0] == run and (r[1] is None if ts is None else r[1] is not None and 0 <= secs(ts, r[1]) <= seconds)]
+        least = min(inside, key=order)
+        assert shown[n][1] == least[4] and (shown[n][0] and shown[n][0].astimezone(timezone.utc)) == least[1]
