@@ -313,6 +313,75 @@ def test_model_beats_unigrams_where_context_tells(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def some_tree(rng, frequent=300, others=4000):
+    """A tree, its words, their counts, which of them are frequent, and their leaves."""
+    word, n = rng.integers(0, 1 << 63, others, dtype=np.uint64), rng.integers(1, 9, others)
+    word &= ~np.uint64(24)  # classes 0 to 7 only
+    n[:frequent] *= 50
+    mass = np.zeros(maxent.CLASSES * maxent.GROUPS, np.int64)
+    np.add.at(mass, maxent.groups(word[frequent:]), n[frequent:] + 1)
+    return maxent.Tree(word[:frequent], n[:frequent], mass), word, n, mass
+
+
+def test_words_of_a_class_sum_to_one_in_every_context():
+    rng = np.random.default_rng(3)
+    tree, word, n, mass = some_tree(rng)
+    assert tree.find(word).tolist() == [int(np.searchsorted(tree.word, w)) if i < 300 else -1 for i, w in enumerate(word)]
+    kind = (tree.word & np.uint64(maxent.CLASSES - 1)).astype(int)
+    of_class = np.concatenate((kind, np.repeat(np.arange(maxent.CLASSES), maxent.GROUPS), np.arange(maxent.CLASSES)))
+    leaves = np.flatnonzero(np.concatenate((np.ones(300, bool), mass > 0, np.ones(maxent.CLASSES, bool))))
+    none, seen = np.zeros((maxent.KINDS, maxent.CLASSES, 1 << maxent.CELL_BITS), np.float32), set()
+    for weights in (none, rng.normal(size=none.shape).astype(np.float32)):
+        for context in rng.integers(0, 1 << 63, (4, maxent.KINDS), dtype=np.uint64):
+            p = np.exp(maxent._within(tree, weights, leaves, tuple(np.full(len(leaves), c) for c in context)))
+            assert np.allclose(np.bincount(of_class[leaves], weights=p, minlength=maxent.CLASSES), 1, atol=1e-5)
+            seen.add(p[0])
+            if weights is none:  # add-one counts
+                own = np.bincount((word & np.uint64(maxent.CLASSES - 1)).astype(int), weights=n + 1, minlength=maxent.CLASSES) + 1
+                count = dict(zip(word.tolist(), n.tolist()))
+                assert np.allclose(p[:300], [(count[int(w)] + 1) / own[k] for w, k in zip(tree.word, kind)], rtol=1e-4)
+    assert len(seen) == 5
+
+
+def test_what_splits_miss_against_each_token():
+    rng = np.random.default_rng(4)
+    tree, word, _, _ = some_tree(rng)
+    token = word[rng.integers(0, len(word), 900)]
+    context = maxent.before(token, np.array([0, 400, 400, 900]))
+    weights = rng.normal(size=(maxent.KINDS, maxent.CLASSES, 1 << maxent.CELL_BITS)).astype(np.float32)
+    for given in (None, weights):
+        want, got = np.zeros((2, *weights.shape)), np.zeros((1 if given is not None else 2, *weights.shape))
+        for i, leaf in enumerate(tree.known(token)):
+            k = int(token[i]) % maxent.CLASSES
+            for at in range(tree.begin[leaf], tree.begin[leaf] + tree.size[leaf]):
+                key, bias = int(tree.path[at]) & 0xFFFFFFFF, (tree.path[at:at + 1] >> np.uint64(32)).astype(np.uint32).view(np.float32)[0]
+                cells = [((int(c[i]) >> 32 ^ key & ~1) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - maxent.CELL_BITS) for c in context]
+                z = float(bias) + (sum(float(given[j, k, c]) for j, c in enumerate(cells)) if given is not None else 0)
+                p = 1 / (1 + math.exp(-z))
+                for j, c in enumerate(cells):
+                    want[0, j, k, c] += (key & 1) - p
+                    want[1, j, k, c] += p * (1 - p)
+        maxent._missed(tree, given, token, context, got)
+        assert np.allclose(got, want[:len(got)], atol=1e-4)
+
+
+def test_context_tells_words_of_a_class_apart(spark):
+    rng = random.Random(12)
+    # All words end alike, so that they are of one class; each is followed by its own one.
+    rows = [(i, " ".join(f"open{k}same shut{k}same" for k in (rng.randrange(30) for _ in range(60)))) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for frequent in (1000, 5):  # also words beyond the frequent ones
+        got = maxent.scored(frame, rounds=2, frequent=frequent).filter("held_out").collect()
+        tokens = sum(r.n_tokens for r in got)
+        assert sum(r.score - r.base_score for r in got) / tokens > 0.2
+
+
+def test_counts_of_words_do_not_depend_on_where_they_are_held(small):
+    want = {r.doc_id: r.score for r in maxent.scored(small, rounds=0, frequent=1 << 17).collect()}
+    got = {r.doc_id: r.score for r in maxent.scored(small, rounds=0, frequent=5).collect()}
+    assert got == pytest.approx(want, rel=1e-4)
+
+
 # Decontamination
 
 def test_leaks_with_other_parameters(spark, empty):
