@@ -40,14 +40,14 @@ CHUNK = 1 << 14
 #: Bytes of text whose words are cut and hashed at once.
 CACHED = 1 << 18
 #: Distinct contexts that a task gathers before it works them off.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 #: Hash groups that the other words of a class form; each is a leaf of its tree.
 GROUPS = 1 << 10
 #: Bits of the number of cells that each class has for each kind of feature of a context and a split.
 CELL_BITS = 12
 CELLS = CLASSES << CELL_BITS
 #: Inverse variance of a split's weights.
-SPLIT_PRIOR = 1.0
+SPLIT_PRIOR = 20.0
 
 #: The low bits of a token are its class.
 _CLASS = np.uint64(CLASSES - 1)
@@ -344,23 +344,23 @@ def _expected(tree, model):
                 _missed(tree.value, split, token, context, missed)
                 gathered.append(np.unique(_keys(_buckets(context)), return_counts=True))
                 if sum(len(key) for key, _ in gathered) > GATHERED:
-                    _expect(*odds, *_apart(*_merged(gathered)), total)
+                    _expect(*odds, *_merged(gathered), total)
                     gathered = []
         if gathered:
-            _expect(*odds, *_apart(*_merged(gathered)), total)
+            _expect(*odds, *_merged(gathered), total)
         yield _rows(np.concatenate((total.T, missed.reshape(-1, CLASSES))))
     return run
 
 
-def _expect(odds: np.ndarray, prior: np.ndarray, of: np.ndarray, n: np.ndarray, total: np.ndarray) -> None:
-    """Add the classes that are expected after the contexts ``of``, each ``n`` times, to ``total``."""
+def _expect(odds: np.ndarray, prior: np.ndarray, key: np.ndarray, n: np.ndarray, total: np.ndarray) -> None:
+    """Add the classes that are expected after the contexts ``key``, each ``n`` times, to ``total``."""
     for lo in range(0, len(n), CHUNK):
-        f = of[:, lo:lo + CHUNK]
+        f, often = _apart(key[lo:lo + CHUNK], n[lo:lo + CHUNK])
         p = odds.take(f[0], axis=0)
         p *= odds.take(f[1], axis=0)
         p *= odds.take(f[2], axis=0)
         p *= prior
-        p *= (n[lo:lo + CHUNK] / p.sum(axis=1))[:, None]
+        p *= (often / p.sum(axis=1))[:, None]
         p = np.ascontiguousarray(p.T, dtype=np.float64)
         for k, row in enumerate(f - BUCKETS * np.arange(KINDS)[:, None]):
             for sums, weight in zip(total[:, BUCKETS * k:BUCKETS * (k + 1)], p):
